@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_HEAD, _TAIL, _OPEN = "_near_start", "_near_end", "_needs_other_slice"
+_NEAR_EDGE, _NO_PREVIOUS, _NO_AHEAD = "_near_edge", "_no_previous", "_no_ahead"
 
 
 def with_neighbours(
@@ -44,27 +44,35 @@ def with_neighbours(
     in_slice = Window.partitionBy(key, *names).orderBy(*total)
     in_key = Window.partitionBy(key).orderBy(*total)
 
-    def lookups(w):
-        return [F.lag(source, 1).over(w).alias(name) for name, source in previous.items()] + [
-            F.lead(source, steps).over(w).alias(name) for name, source in ahead.items()
-        ]
+    def before(column: Column, rows: int, window) -> Column:
+        return F.lag(column, rows).over(window)
 
-    here = F.lit(True)
-    unresolved = F.lit(False)
-    if previous:
-        unresolved = unresolved | F.lag(here, 1).over(in_slice).isNull()
-    if ahead:
-        unresolved = unresolved | F.lead(here, steps).over(in_slice).isNull()
+    def after(column: Column, rows: int, window) -> Column:
+        return F.lead(column, rows).over(window)
 
+    here = F.lit(True)
     sliced = df.select("*", *(c.alias(n) for c, n in zip(slices, names, strict=True))).select(
         "*",
-        *lookups(in_slice),
-        F.lag(here, reach).over(in_slice).isNull().alias(_HEAD),
-        F.lead(here, reach).over(in_slice).isNull().alias(_TAIL),
-        unresolved.alias(_OPEN),
+        *(before(F.col(source), 1, in_slice).alias(name) for name, source in previous.items()),
+        *(after(F.col(source), steps, in_slice).alias(name) for name, source in ahead.items()),
+        (before(here, reach, in_slice).isNull() | after(here, reach, in_slice).isNull()).alias(_NEAR_EDGE),
+        (before(here, 1, in_slice).isNull() if previous else ~here).alias(_NO_PREVIOUS),
+        (after(here, steps, in_slice).isNull() if ahead else ~here).alias(_NO_AHEAD),
+    )
+    unresolved = F.col(_NO_PREVIOUS) | F.col(_NO_AHEAD)
+    inside = sliced.filter(~unresolved)
+    # A row may miss one lookup only; what its own slice has resolved stays as it is.
+    across = sliced.filter(_NEAR_EDGE).select(
+        *df.columns,
+        *(
+            F.when(F.col(_NO_PREVIOUS), before(F.col(source), 1, in_key)).otherwise(F.col(name)).alias(name)
+            for name, source in previous.items()
+        ),
+        *(
+            F.when(F.col(_NO_AHEAD), after(F.col(source), steps, in_key)).otherwise(F.col(name)).alias(name)
+            for name, source in ahead.items()
+        ),
+        unresolved.alias("_unresolved"),
     )
     out = [*df.columns, *previous, *ahead]
-    inside = sliced.filter(~F.col(_OPEN)).select(*out)
-    edges = sliced.filter(F.col(_HEAD) | F.col(_TAIL)).select(*df.columns, _OPEN)
-    across = edges.select(*df.columns, *lookups(in_key), _OPEN).filter(_OPEN).select(*out)
-    return inside.unionByName(across)
+    return inside.select(*out).unionByName(across.filter("_unresolved").select(*out))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 from skytracks.sources.lake import WriteMode
 
@@ -27,7 +30,8 @@ def write_table(
             raise ValueError(f"{table} has columns {target}, rows have {rows.columns}")
         writer = rows.select(*target).write
         if mode == "replace":
-            writer.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+            with _replacing_partitions(spark):
+                writer.insertInto(table, overwrite=True)
         else:
             writer.insertInto(table)
         return
@@ -37,6 +41,18 @@ def write_table(
     writer.mode("overwrite" if mode == "overwrite" else "errorifexists").saveAsTable(table)
 
 
+@contextmanager
+def _replacing_partitions(spark: SparkSession) -> Iterator[None]:
+    """insertInto takes the overwrite mode from the session only, not from a writer option."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_connector(rows: DataFrame, fmt: str, mode: str = "append", **options) -> None:
     """Write through a connector named by ``fmt``, such as a warehouse data source on the class path."""
     rows.write.format(fmt).options(**options).mode(mode).save()
