@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from skytracks.schemas import FEATURES_14, NUM_TREES, PREDICTION_COLUMNS, SEED, TARGETS
 
@@ -23,24 +25,29 @@ def fit_forests(
     targets: Mapping[str, str] = TARGETS,
     num_trees: int = NUM_TREES,
     seed: int = SEED,
+    at_once: int = 3,
     **forest_params,
 ) -> PipelineModel:
-    """Fit one forest per target on the ``features`` vector.
+    """Fit one forest per target on the ``features`` vector, ``at_once`` of them side by side.
 
     The result holds the assembler and all forests, each with its own prediction column, so a
     model always scores the feature list it was fitted on.
     """
-    forests = [
-        RandomForestRegressor(
+
+    def fit(target: tuple[str, str]):
+        name, label = target
+        forest = RandomForestRegressor(
             featuresCol="features",
             labelCol=label,
             predictionCol=f"predicted_{name}",
             numTrees=num_trees,
             seed=seed,
             **forest_params,
-        ).fit(assembled.select("features", label))
-        for name, label in targets.items()
-    ]
+        )
+        return forest.fit(assembled.select("features", label))
+
+    with ThreadPool(at_once) as pool:
+        forests = pool.map(inheritable_thread_target(assembled.sparkSession)(fit), targets.items())
     return PipelineModel(stages=[assembler(features), *forests])
 
 

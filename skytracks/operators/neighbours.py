@@ -1,7 +1,7 @@
 """Row-offset lookups (lag / lead) per key that no single key can turn into one huge task.
 
 A plain window sends all rows of a key to one task. Here each key's history is cut into
-slices that follow its order (days, for reports), and the lookup runs per slice. Only rows
+slices that follow its order (months, for reports), and the lookup runs per slice. Only rows
 near a slice edge can need a row of another slice, so only those few rows per slice meet
 again in a window over the whole key. The result equals the plain window row for row; the
 largest task holds one slice, or the edge rows of one key (a fixed number per slice).
@@ -33,7 +33,8 @@ def with_neighbours(
     ``previous`` and ``ahead`` map new column names to source columns. Rows are ordered by
     ``order`` (nulls first), then by all other columns so that equal times have a fixed order.
     ``slices`` must be functions of the ``order`` columns that never go back and forth along
-    that order: all rows of one slice are consecutive within their key.
+    that order: all rows of one slice are consecutive within their key. Without slices it is
+    the plain window, for keys known to be short.
     """
     previous, ahead = dict(previous or {}), dict(ahead or {})
     if steps < 1:
@@ -50,6 +51,12 @@ def with_neighbours(
     def after(column: Column, rows: int, window) -> Column:
         return F.lead(column, rows).over(window)
 
+    if not slices:
+        return df.select(
+            "*",
+            *(before(F.col(source), 1, in_key).alias(name) for name, source in previous.items()),
+            *(after(F.col(source), steps, in_key).alias(name) for name, source in ahead.items()),
+        )
     here = F.lit(True)
     sliced = df.select("*", *(c.alias(n) for c, n in zip(slices, names, strict=True))).select(
         "*",

@@ -7,16 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skytracks.functions.times import HourRange
 from skytracks.operators.forest import feature_list, predictions
-from skytracks.operators.motion import motion_inputs, previous_for, scoring_rows, with_motion
+from skytracks.operators.motion import SLICE, motion_inputs, previous_for, scoring_rows, slices_needed, with_motion
 from skytracks.sources.lake import read_silver, write_predictions
 from skytracks.sources.models import load_model
 
 
-def predicted_positions(model: PipelineModel, silver: DataFrame) -> DataFrame:
+def predicted_positions(model: PipelineModel, silver: DataFrame, slice_by: str | None = SLICE) -> DataFrame:
     """Predictions for every report with the features the model was fitted on."""
     features = feature_list(model)
-    rows = scoring_rows(with_motion(motion_inputs(silver), previous_for(features)), features)
-    return predictions(model, rows)
+    moving = with_motion(motion_inputs(silver), previous_for(features), slice_by=slice_by)
+    return predictions(model, scoring_rows(moving, features))
 
 
 def predict(
@@ -28,5 +28,6 @@ def predict(
 ) -> str:
     """Score silver (or the ``hours`` of it) and replace the predictions table."""
     silver = read_silver(spark, silver_path, hours)
-    write_predictions(predicted_positions(load_model(models_path), silver), predictions_path)
+    scored = predicted_positions(load_model(models_path), silver, slices_needed(silver))
+    write_predictions(scored, predictions_path)
     return predictions_path

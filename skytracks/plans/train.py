@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from skytracks.functions.times import HourRange
 from skytracks.operators.forest import apply_forests, assembler, fit_forests, rmse_by_target
-from skytracks.operators.motion import motion_inputs, previous_for, training_rows, with_motion
+from skytracks.operators.motion import SLICE, motion_inputs, previous_for, slices_needed, training_rows, with_motion
 from skytracks.operators.split import in_train_part, random_parts
 from skytracks.schemas import FEATURES_14, HORIZON_ROWS, TARGETS
 from skytracks.session import cut_lineage
@@ -22,10 +22,13 @@ Split = Literal["hash", "random"]
 
 
 def training_set(
-    silver: DataFrame, features: Sequence[str] = FEATURES_14, horizon: int = HORIZON_ROWS
+    silver: DataFrame,
+    features: Sequence[str] = FEATURES_14,
+    horizon: int = HORIZON_ROWS,
+    slice_by: str | None = SLICE,
 ) -> DataFrame:
     """Report rows with complete features and targets."""
-    moving = with_motion(motion_inputs(silver), previous_for(features), horizon)
+    moving = with_motion(motion_inputs(silver), previous_for(features), horizon, slice_by)
     return training_rows(moving, features)
 
 
@@ -59,7 +62,8 @@ def train(
     **forest_params,
 ) -> DataFrame:
     """Fit on silver (or the ``hours`` of it), save the model and return (target, rmse, rows)."""
-    rows = training_set(read_silver(spark, silver_path, hours), features, horizon)
+    silver = read_silver(spark, silver_path, hours)
+    rows = training_set(silver, features, horizon, slices_needed(silver))
     model, errors = fit_and_evaluate(rows, features, split, **forest_params)
     save_model(model, models_path)
     return errors

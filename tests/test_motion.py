@@ -60,14 +60,23 @@ def test_sliced_lookup_equals_plain_window(spark, seed, back, ahead, steps):
     assert sorted(found.collect(), key=key) == sorted(expected.collect(), key=key)
 
 
-def test_slices_can_be_hours(spark):
-    df = reports(spark, random.Random(9), aircraft=2, rows=400, days=2)
-    order, slices = motion._history(df, "hour")
+@pytest.mark.parametrize("width", ["hour", "week", "month", None])
+def test_slice_width_does_not_matter(spark, width):
+    df = reports(spark, random.Random(9), aircraft=2, rows=400, days=20)
+    order, slices = motion._history(df, width)
     found = with_neighbours(df, "icao24", order, slices, {"p": "value"}, {"n": "value"}, 3)
     assert found.exceptAll(plain(df, {"p": "value"}, {"n": "value"}, 3)).isEmpty()
     assert found.count() == 400
 
 
+def test_slices_only_for_long_histories(spark, monkeypatch):
+    df = reports(spark, random.Random(1), aircraft=2, rows=50, days=2)
+    assert motion.slices_needed(df) is None
+    monkeypatch.setattr(motion, "SHORT_HISTORY", 10)
+    assert motion.slices_needed(df) == "month"
+    assert motion.slices_needed(df.limit(0)) is None
+
+
 def test_one_data_shuffle_is_shared(spark, bronze):
     rows = motion.with_motion(motion.motion_inputs(typed_times(bronze({}, {"time_position": None}))), horizon=5)
     rows.collect()
