@@ -43,14 +43,20 @@ def fit_and_evaluate(
     columns = ["features", *TARGETS.values()]
     assembled = assembler(features).transform(rows)
     if split == "hash":
-        stored = cut_lineage(assembled.select(*columns, in_train_part().alias("is_train")))
+        stored = _for_every_core(cut_lineage(assembled.select(*columns, in_train_part().alias("is_train"))))
         train, test = stored.filter("is_train"), stored.filter(~F.col("is_train"))
     else:
-        train, test = random_parts(cut_lineage(assembled.select(*columns)))
+        train, test = random_parts(_for_every_core(cut_lineage(assembled.select(*columns))))
     model = fit_forests(train, features, **forest_params)
     return model, rmse_by_target(apply_forests(model, test))
 
 
+def _for_every_core(stored: DataFrame) -> DataFrame:
+    """Fitting is compute-bound: spread rows that were stored in fewer parts than there are cores."""
+    cores = stored.sparkSession.sparkContext.defaultParallelism
+    return stored if stored.rdd.getNumPartitions() >= cores else stored.repartition(cores)
+
+
 def train(
     spark: SparkSession,
     silver_path: str,

@@ -7,21 +7,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skytracks.operators.clean import typed_times, valid_reports, with_silver_hour
-from skytracks.schemas import BRONZE_TABLE, REPORT_KEY, SILVER_HOUR_KEYS
+from skytracks.schemas import BRONZE_TABLE, REPORT_KEY, SEED, SILVER_HOUR_KEYS
 
-# Copies of one report are first dropped within this many groups of source files.
+# Copies of one report are first dropped within this many random groups of rows.
 SALT_GROUPS = 32
+# Files per hour directory and batch; a hot hour is written by as many tasks.
+FILES_PER_HOUR = 8
 
 
 def first_seen(reports: DataFrame, delay: str, salt_groups: int = SALT_GROUPS) -> DataFrame:
     """Drop repeats of a report that arrive within ``delay`` of each other.
 
     Two steps, so that a key with very many copies is not one task's work: copies are dropped
-    per (key, group of source files) first, then per key among the few rows left.
+    per (key, group) first, then per key among the few rows left. Groups need not agree
+    between batches, since the second step alone decides; the seed makes a retried task
+    draw the same ones.
     """
-    group = F.pmod(F.xxhash64("source_file"), F.lit(salt_groups))
     return (
-        reports.withColumn("_group", group)
+        reports.withColumn("_group", F.floor(F.rand(SEED) * salt_groups))
         .withWatermark("ingest_ts", delay)
         .dropDuplicatesWithinWatermark([*REPORT_KEY, "_group"])
         .dropDuplicatesWithinWatermark(list(REPORT_KEY))
@@ -29,6 +32,12 @@ def first_seen(reports: DataFrame, delay: str, salt_groups: int = SALT_GROUPS) -
     )
 
 
+def by_hour(reports: DataFrame, files_per_hour: int = FILES_PER_HOUR) -> DataFrame:
+    """Bring the rows of an hour to a few tasks instead of a file from every state partition."""
+    spread = F.pmod(F.xxhash64(*REPORT_KEY), F.lit(files_per_hour))
+    return reports.repartition(*SILVER_HOUR_KEYS, spread)
+
+
 def stream_silver(
     spark: SparkSession,
     bronze_path: str,
@@ -53,7 +62,7 @@ def stream_silver(
     )
     reports = valid_reports(typed_times(bronze)).filter(F.col("ingest_ts").isNotNull())
     return (
-        with_silver_hour(first_seen(reports, delay))
+        by_hour(with_silver_hour(first_seen(reports, delay)))
         .writeStream.format("parquet")
         .partitionBy(*SILVER_HOUR_KEYS)
         .option("path", silver_path)

@@ -73,7 +73,7 @@ def test_slices_only_for_long_histories(spark, monkeypatch):
     df = reports(spark, random.Random(1), aircraft=2, rows=50, days=2)
     assert motion.slices_needed(df) is None
     monkeypatch.setattr(motion, "SHORT_HISTORY", 10)
-    assert motion.slices_needed(df) == "month"
+    assert motion.slices_needed(df) == "day"
     assert motion.slices_needed(df.limit(0)) is None
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from conftest import SMALL
+from skytracks.__main__ import main
 from skytracks.plans import fixtures
 from skytracks.plans.pipeline import Lake, run
 from skytracks.session import build_session, cut_lineage, fresh_dir, shared_dir
@@ -38,3 +39,13 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_joining_a_session_keeps_it_running(spark):
     assert build_session() is spark or build_session().range(1).count() == 1
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_command_line(spark, tmp_path, capsys):
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "lake")
+    fixtures.snapshot_documents(spark, SMALL).coalesce(1).write.text(landing)
+    options = ["--landing", landing, "--one-per-line", "--no-predictions", "--as-of", "2024-01-15T12:00:00"]
+    done = main([root, *options, "--lookback-minutes", "600", "--lamin", "43", "--lamax", "48"])
+    assert done["gold"] == Lake(root).gold and "silver:" in capsys.readouterr().out
+    assert read_bronze(spark, Lake(root).bronze).filter("lat < 43 OR lat > 48").isEmpty()
+    assert not read_silver(spark, Lake(root).silver).isEmpty()
