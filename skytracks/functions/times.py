@@ -91,8 +91,12 @@ class HourRange:
 
     def prunes(self, keys: Sequence[str]) -> Column:
         """The same range as plain comparisons on year/month/day/hour partition keys."""
-        last = self.end - HOUR
-        return _not_before(keys, _parts(self.start)) & _not_after(keys, _parts(last))
+        return since_hour(keys, self.start) & _not_after(keys, _parts(self.end - HOUR))
+
+
+def since_hour(keys: Sequence[str], moment: datetime) -> Column:
+    """The hour of ``moment`` and later, as plain comparisons on partition keys."""
+    return _not_before(keys, _parts(moment))
 
 
 def _parts(moment: datetime) -> tuple[int, int, int, int]:

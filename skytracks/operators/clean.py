@@ -7,9 +7,10 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skytracks.functions.times import as_utc, calendar_parts, parse_time
+from skytracks.functions.times import as_utc, calendar_parts, parse_time, since_hour
 from skytracks.schemas import (
     GOLD_DAY_KEY,
+    INGEST_HOUR_KEYS,
     LOOKBACK,
     MEASUREMENTS,
     REPORT_KEY,
@@ -37,12 +38,16 @@ def recent(
     """Reports ingested strictly after ``as_of - lookback``, with no upper bound.
 
     Without ``as_of`` the bound moves with ``current_timestamp()``. ``ingest_ts`` must be a timestamp.
+    Where the rows carry the hour keys of bronze or silver, the bound is put on those as well, so
+    that a scan skips the older directories.
     """
-    if as_of is None:
-        bound = F.current_timestamp() - F.lit(lookback)
-    else:
-        bound = F.lit(as_utc(as_of) - lookback)
-    return reports.filter(F.col("ingest_ts") > bound)
+    earliest = as_utc(as_of) - lookback
+    bound = F.lit(earliest) if as_of is not None else F.current_timestamp() - F.lit(lookback)
+    fresh = F.col("ingest_ts") > bound
+    for keys in (INGEST_HOUR_KEYS, SILVER_HOUR_KEYS):
+        if set(keys) <= set(reports.columns):
+            fresh = fresh & since_hour(keys, earliest)
+    return reports.filter(fresh)
 
 
 def valid_reports(reports: DataFrame) -> DataFrame:

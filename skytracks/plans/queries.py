@@ -295,7 +295,7 @@ def gold_table(spark, sf_dir):
     rows, path = gold.gold_rows(_silver(spark, sf_dir)), fresh_dir(spark, "table")
     name = f"gold_{path.rsplit('-', 1)[1]}"
     write_table(rows, name, partition_by=GOLD_DAY_KEY, path=path)
-    write_table(rows.filter(F.dayofmonth(GOLD_DAY_KEY) % 2 == 0), name, "replace")
+    write_table(rows.filter(F.dayofmonth(GOLD_DAY_KEY) % 2 == 0), name, "replace", partition_by=GOLD_DAY_KEY)
     return spark.table(name)
 
 

@@ -7,7 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skytracks.sources.lake import WriteMode
+from skytracks.sources.lake import WriteMode, clustered
 
 
 def write_table(
@@ -21,9 +21,12 @@ def write_table(
     """Write ``rows`` to a catalog table. Failures are raised.
 
     An existing table keeps its layout: columns are matched by name and a different column
-    set is refused. ``replace`` swaps only the partitions that ``rows`` holds.
+    set is refused. ``replace`` swaps only the partitions that ``rows`` holds. Name the partition
+    column of an existing table too, so that its rows are brought together before the write.
     """
     spark = rows.sparkSession
+    if partition_by is not None:
+        rows = clustered(rows, (partition_by,))
     if mode != "overwrite" and spark.catalog.tableExists(table):
         target = spark.table(table).columns
         if set(target) != set(rows.columns):

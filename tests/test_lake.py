@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 
 from conftest import MEDIUM, SMALL
 from skytracks.functions.times import HOUR, HourRange, as_utc
+from skytracks.operators.clean import in_box, recent, typed_times, valid_reports
 from skytracks.operators.counts import counted
 from skytracks.operators.snapshot import with_ingest_hour
+from skytracks.operators.split import in_train_part
 from skytracks.plans import fixtures
 from skytracks.plans.gold import load_gold
-from skytracks.plans.silver import load_silver, silver_rows
-from skytracks.schemas import GOLD_TABLE, SILVER_HOUR_KEYS, SILVER_TABLE
+from skytracks.plans.silver import load_silver, recent_silver_rows, silver_rows
+from skytracks.plans.train import training_set
+from skytracks.schemas import GOLD_TABLE, SILVER_HOUR_KEYS, SILVER_TABLE, BoundingBox
 from skytracks.sources import lake
 from skytracks.sources.tables import write_connector, write_table
 
@@ -34,11 +37,37 @@ def full(spark, tmp_path_factory):
     return bronze, str(root / "silver")
 
 
+def test_reports_without_ingest_time_stay_in_a_full_load(spark, bronze, tmp_path):
+    path = put(bronze({}, {"ingest_ts": "unknown", "icao24": "undated"}), tmp_path / "bronze")
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    load_silver(spark, path, silver, "full")
+    load_gold(spark, silver, gold, "full")
+    for rows in (lake.read_silver(spark, silver), spark.read.parquet(gold)):
+        assert sorted((r.icao24, r.ingest_ts is None) for r in rows.collect()) == [("abc123", False), ("undated", True)]
+
+
 def same(left, right):
     columns = left.columns
     return left.exceptAll(right.select(*columns)).isEmpty() and right.select(*columns).exceptAll(left).isEmpty()
 
 
+def test_bad_bronze_lines_and_fields(spark, tmp_path):
+    hour = tmp_path / "ingest_year=2024/ingest_month=01/ingest_day=15/ingest_hour=09"
+    hour.mkdir(parents=True)
+    good = (
+        '"ingest_ts":"2024-01-15T09:00:00","icao24":"%s","lon":1.0,"velocity":1,"heading":1.0,'
+        '"vertical_rate":0.0,"baro_altitude":10.0,"unknown":[1],"lat":%s'
+    )
+    lines = [good % ("ok", "45"), good % ("text", '"45.0"'), good % ("nan", '"NaN"')]
+    (hour / "x.ndjson").write_text("\n".join(["{broken", *("{" + line + "}" for line in lines)]))
+    rows = lake.read_bronze(spark, str(tmp_path))
+    assert rows.count() == 4 and rows.filter("icao24 IS NULL").count() == 1
+    assert rows.filter("icao24 = 'text'").collect()[0].lat is None
+    kept = silver_rows(rows).collect()
+    assert [(r.icao24, r.velocity, r.ingest_month, r.callsign) for r in kept] == [("ok", 1.0, 1, None)]
+    assert kept[0].source_file.endswith("ingest_hour=09/x.ndjson")
+
+
 def test_full_load_layout(spark, full):
     silver = lake.read_silver(spark, full[1])
     assert silver.columns == SILVER_TABLE.names
@@ -153,6 +182,20 @@ def test_hours_limit_listing_and_reading(spark, full):
     assert same(lake.read_silver(spark, full[1], hours), whole.filter(hours.contains(F.col("ingest_ts"))))
 
 
+def test_recent_rows_skip_older_directories(spark, full):
+    silver = lake.read_silver(spark, full[1])
+    rows = recent(silver, "2024-01-29T12:30:00")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "(year#" in plan.split("PartitionFilters: [")[1] and "GreaterThan(ingest_ts" in plan
+    assert same(rows, silver.filter("ingest_ts > timestamp'2024-01-29 11:30:00'")) and not rows.isEmpty()
+    bronze = lake.read_bronze(spark, full[0])
+    fresh = recent_silver_rows(bronze, "2024-01-29T12:30:00")
+    assert "(ingest_year#" in fresh._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1]
+    unpruned = silver_rows(bronze.filter("ingest_ts > '2024-01-29T11:30:00'"))
+    assert same(fresh, unpruned)
+    assert recent(silver).isEmpty()
+
+
 def test_a_long_range_lists_the_table_instead(spark, full):
     hours = HourRange(as_utc("2010-01-01T01:00:00"), as_utc("2024-01-15T13:00:00"))
     rows = lake.read_silver(spark, full[1], hours)
@@ -250,6 +293,16 @@ def test_lookback_is_a_parameter(spark, full, tmp_path):
     assert hours <= {9, 10, 11, 12, 13}
 
 
-def test_medium_counts(spark):
-    bronze = fixtures.bronze_reports(spark, MEDIUM)
-    assert bronze.count() == 11_000 and silver_rows(bronze).count() == 8_891
+def test_known_counts(spark):
+    bronze = fixtures.bronze_reports(spark, MEDIUM).cache()
+    silver = silver_rows(bronze).cache()
+    assert bronze.count() == 11_000 and valid_reports(bronze).count() == 9_801
+    assert bronze.select("ingest_ts").distinct().count() == 721
+    assert in_box(bronze).count() == 10_608 and in_box(bronze, BoundingBox(43, 48, 0, 6)).count() == 2_056
+    assert recent(typed_times(bronze), AS_OF).count() == 5_702
+    assert silver.count() == 8_891 and silver.filter("time_position IS NULL").count() == 71
+    histories = silver.groupBy("icao24").count()
+    usable = histories.agg(F.sum(F.greatest(F.lit(0), F.col("count") - 6)).alias("n")).collect()[0].n
+    assert histories.count() == 150 and training_set(silver).count() == usable == 7_991
+    flags = training_set(silver).select(in_train_part().alias("t")).groupBy("t").count()
+    assert {r.t: r["count"] for r in flags.collect()} == {True: 6_426, False: 1_565}
