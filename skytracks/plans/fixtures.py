@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from skytracks.functions.times import ISO_SECONDS
 from skytracks.schemas import BRONZE
 
-# Documents hold the reports of one block of event ids, which bounds their size.
-IDS_PER_DOCUMENT = 1000
+# A document holds reports of one block of 2**10 consecutive rows of an input partition, which
+# bounds its size whatever the data.
+DOCUMENT_BITS = 10
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +89,7 @@ def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     tail = F.when(last.isNull(), F.lit("")).otherwise(F.concat(F.lit(","), _json(last)))
     extra = F.when(last.isNotNull() & even, F.lit(',null,1200.5,"7000",false,0')).otherwise(F.lit(""))
     vector = F.concat(F.lit("["), F.concat_ws(",", *(_json(c) for c in raw.values())), tail, extra, F.lit("]"))
-    block = F.floor(F.col("event_id") / IDS_PER_DOCUMENT)
+    block = F.shiftright(F.monotonically_increasing_id(), DOCUMENT_BITS)
     grouped = (
         rows.select("ingest_ts", block.alias("block"), vector.alias("vector"))
         .groupBy("ingest_ts", "block")
