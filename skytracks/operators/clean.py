@@ -67,10 +67,12 @@ def first_reports(reports: DataFrame) -> DataFrame:
 
     ``row_number() = 1`` lets Spark keep the best row per key inside each map task before the
     shuffle (WindowGroupLimit), so a key with very many copies sends at most one row per task.
-    Ordering by all remaining columns last makes the survivor the same on every run.
+    Ordering by the remaining columns, lineage last, makes the survivor the same on every run
+    and however the files were split.
     """
-    leading = [name for name in ("ingest_ts", "last_contact", "source_file") if name in reports.columns]
-    others = [name for name in reports.columns if name not in (*REPORT_KEY, *leading)]
+    leading = [name for name in ("ingest_ts", "last_contact") if name in reports.columns]
+    others = [name for name in reports.columns if name not in (*REPORT_KEY, *leading, "source_file")]
+    others += [name for name in reports.columns if name == "source_file"]
     order = [F.col(name).asc_nulls_last() for name in (*leading, *others)]
     ranked = reports.withColumn("_rank", F.row_number().over(Window.partitionBy(*REPORT_KEY).orderBy(*order)))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")

@@ -52,7 +52,9 @@ WITH reported AS (
     AND vertical_rate IS NOT NULL AND baro_altitude IS NOT NULL
 )"""
 
-_FIRST = "row_number() OVER (PARTITION BY icao24, time_position ORDER BY ingest_ts, last_contact) = 1"
+_FIRST = """row_number() OVER (PARTITION BY icao24, time_position
+    ORDER BY ingest_ts, last_contact, callsign, origin_country, lon, lat, baro_altitude,
+             on_ground, velocity, heading, vertical_rate) = 1"""
 
 
 def _hour_keys(*names: str) -> str:

@@ -96,6 +96,13 @@ def test_null_times_collapse_per_aircraft(bronze):
     assert icaos(clean.first_reports(rows)) == ["abc123", "other"]
 
 
+def test_survivor_does_not_depend_on_files(bronze):
+    rows = clean.typed_times(bronze({"lat": 41.0}, {"lat": 42.0}))
+    for first, second in (("a", "b"), ("b", "a")):
+        named = rows.withColumn("source_file", F.when(F.col("lat") == 41.0, first).otherwise(second))
+        assert clean.first_reports(named).collect()[0].lat == 41.0
+
+
 def test_survivor_does_not_depend_on_partitioning(bronze):
     rows = clean.typed_times(bronze(*({"lat": 40.0 + i, "callsign": f"c{i}"} for i in range(20))))
     survivors = {tuple(clean.first_reports(rows.repartition(n)).collect()[0]) for n in (1, 3, 7)}
