@@ -25,7 +25,7 @@ def fit_forests(
     targets: Mapping[str, str] = TARGETS,
     num_trees: int = NUM_TREES,
     seed: int = SEED,
-    at_once: int = 3,
+    at_once: int = 1,
     **forest_params,
 ) -> PipelineModel:
     """Fit one forest per target on the ``features`` vector, ``at_once`` of them side by side.

@@ -41,22 +41,23 @@ def fit_and_evaluate(
     that copy instead of repeating the windows, also after an executor is lost.
     """
     columns = ["features", *TARGETS.values()]
-    assembled = assembler(features).transform(rows)
     if split == "hash":
-        stored = _for_every_core(cut_lineage(assembled.select(*columns, in_train_part().alias("is_train"))))
+        columns.append(in_train_part().alias("is_train"))
+    stored = cut_lineage(assembler(features).transform(rows).select(*columns))
+    cores, parts = stored.sparkSession.sparkContext.defaultParallelism, stored.rdd.getNumPartitions()
+    if parts < cores:
+        # Fitting is compute-bound: use every core for few rows.
+        stored = stored.repartition(cores)
+    if split == "hash":
         train, test = stored.filter("is_train"), stored.filter(~F.col("is_train"))
     else:
-        train, test = random_parts(_for_every_core(cut_lineage(assembled.select(*columns))))
-    model = fit_forests(train, features, **forest_params)
+        train, test = random_parts(stored)
+    # Each fit caches its own form of the rows. Side by side only pays while cores would idle.
+    settings = {"at_once": len(TARGETS) if parts <= 2 * cores else 1} | forest_params
+    model = fit_forests(train, features, **settings)
     return model, rmse_by_target(apply_forests(model, test))
 
 
-def _for_every_core(stored: DataFrame) -> DataFrame:
-    """Fitting is compute-bound: spread rows that were stored in fewer parts than there are cores."""
-    cores = stored.sparkSession.sparkContext.defaultParallelism
-    return stored if stored.rdd.getNumPartitions() >= cores else stored.repartition(cores)
-
-
 def train(
     spark: SparkSession,
     silver_path: str,

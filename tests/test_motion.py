@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -82,6 +83,7 @@ def test_one_data_shuffle_is_shared(spark, bronze):
     rows.collect()
     plan = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("ReusedExchange") == 1
+    assert re.search(r"Exchange hashpartitioning\(icao24#\d+, _slice_0#\d+, _slice_1#\d+, 8\)", plan)
 
 
 def track(bronze, *reports):
