@@ -75,17 +75,19 @@ def exact_duplicates(
         "exact_dedup",
     )
     norm = normalise(whole_text())
-    rows = docs.select("doc_id", digest(norm).alias("digest"))
+    # Repeated rows become one with a count before the join, which adaptive execution can then split where a digest is hot.
+    rows = _counted(docs.select("doc_id", digest(norm).alias("digest")))
     found = rows.join(summary.filter("texts = 1").drop("texts"), "digest")
     clashes = summary.filter("texts > 1").select("digest")
     if not clashes.isEmpty():
-        texts = docs.select("doc_id", norm.alias("norm"), digest(norm).alias("digest"))
+        texts = _counted(docs.select("doc_id", norm.alias("norm"), digest(norm).alias("digest")))
         clashing = texts.join(clashes, "digest", "left_semi").join(groups, ["digest", "norm"])
-        found = found.unionByName(clashing.select(*found.columns, "norm"), allowMissingColumns=True)
-    else:
-        found = found.withColumn("norm", F.lit(None).cast("string"))
-    counted = found.groupBy("doc_id", "digest", "norm", "keep_id", "group_size").agg(F.count(F.lit(1)).alias("rows"))
-    return _numbered(counted)
+        found = found.unionByName(clashing.select(*found.columns))
+    return _numbered(found)
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _numbered(counted: DataFrame) -> DataFrame:
