@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytracks.llm import arrow_output, chat, exact_dedup, packing, quality, tokenise
+from skytracks.llm import arrow_output, chat, exact_dedup, html_text, packing, quality, tokenise
 from skytracks.llm.tables import table
 
 # Folder of public vocabulary files, as installed; operators take paths as parameters.
@@ -30,6 +30,12 @@ def op3_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+@_registered
+def op4_html_extraction(spark, sf_dir):
+    """The main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @_registered
 def op5_token_output(spark, sf_dir):
     """Every document's ids, written to Arrow files and read back."""
