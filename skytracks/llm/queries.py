@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytracks.llm import arrow_output, chat, exact_dedup, html_text, near_dedup, packing, quality, tokenise
+from skytracks.llm import arrow_output, chat, exact_dedup, html_text, near_dedup, packing, quality, repeats, tokenise
 from skytracks.llm.tables import table
 
 # Folder of public vocabulary files, as installed; operators take paths as parameters.
@@ -24,6 +24,12 @@ def _registered(query: Query) -> Query:
     return query
 
 
+@_registered
+def op1_suffix_dedup(spark, sf_dir):
+    """Every document without its repeated strings of 400 bytes."""
+    return repeats.without_repeats(table(spark, sf_dir, "documents"))
+
+
 @_registered
 def op2_near_dedup(spark, sf_dir):
     """The class of near duplicates of every document, and whether the document stays."""
