@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytracks.llm import arrow_output, chat, exact_dedup, html_text, near_dedup, packing, quality, repeats, tokenise
+from skytracks.llm import arrow_output, chat, exact_dedup, html_text, near_dedup, packing, passages, quality, repeats, tokenise
 from skytracks.llm.tables import table
 
 # Folder of public vocabulary files, as installed; operators take paths as parameters.
@@ -60,6 +60,12 @@ def op6_quality_rules(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+@_registered
+def op7_substring_dedup(spark, sf_dir):
+    """Every passage of a document that nearly repeats one of another document."""
+    return passages.near_passages(table(spark, sf_dir, "documents"))
+
+
 @_registered
 def op8_chat_formatting(spark, sf_dir):
     """Every conversation, and one made of control strings, formatted and read back."""
