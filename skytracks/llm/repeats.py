@@ -11,7 +11,7 @@ their anchors at the same distance, so a suffix only has to be sorted among thos
    suffixes of the block's distinct contexts. Prefixes are named first, a part of the suffixes at a time. Ties beyond the
    prefix are resolved by ranks of the cover sample, computed before: for any two places there is a shift at which both are
    sample places, so two strings are equal when their prefixes, the ranks at that shift and their last prefixes are.
-   Buckets of so many distinct contexts that a task should not hold them are counted string by string instead.
+   Buckets of so many distinct contexts that a task should not hold them are counted instead, by slices and strings.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -35,6 +36,9 @@ PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
 # Bytes of context sorted together in a task, and distinct contexts of one anchor that a task sorts at all.
 BLOCK_BYTES = 1 << 20
 LARGE_BUCKET = 2000
+SLICE = 16
+
+CONTEXT_COLUMNS = ["anchor", "n", "first", "place"]
 
 _PLACE_BITS = np.uint64(24)
 _PLACE = np.uint64((1 << 24) - 1)
@@ -84,18 +88,20 @@ def pieces_of(offsets: np.ndarray, length: int, limit: int = 1 << 23) -> Iterato
             start += limit - length + 1
 
 
-def _names(columns: list[np.ndarray]) -> np.ndarray:
-    """Ranks of rows of keys, in sorted order, without gaps; equal rows have equal ranks."""
-    order = np.lexsort(columns[::-1])
-    new = np.zeros(len(order), bool)
-    for column in columns:
-        ranked = column[order]
-        new[1:] |= ranked[1:] != ranked[:-1]
+def _names(column: np.ndarray) -> np.ndarray:
+    """Ranks of keys in sorted order, without gaps; equal keys have equal ranks."""
+    order = np.argsort(column)
+    ranked = column[order]
     names = np.empty(len(order), np.int64)
-    names[order] = np.cumsum(new)
+    names[order] = np.cumsum(np.append(False, ranked[1:] != ranked[:-1])) if len(order) else 0
     return names
 
 
+def _pair_names(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Ranks of pairs of ranks; blocks hold fewer than 2**31 suffixes."""
+    return _names((left << 32) + (right + 1))
+
+
 def _prefix_names(data: np.ndarray, part: int) -> np.ndarray:
     """The rank of the PERIOD bytes at each place (zeros beyond the end) among all places.
 
@@ -108,13 +114,12 @@ def _prefix_names(data: np.ndarray, part: int) -> np.ndarray:
     order = np.argsort(batch, kind="stable")
     names, base = np.empty(len(data), np.int64), 0
     for chosen in np.split(order, np.flatnonzero(np.diff(batch[order])) + 1):
-        columns = []
+        ranks = None
         for at in range(0, PERIOD, 8):
             word = np.zeros(len(chosen), np.uint64)
             for step in range(at, min(at + 8, PERIOD)):
                 word = (word << np.uint64(8)) | padded[chosen + step]
-            columns.append(word)
-        ranks = _names(columns)
+            ranks = _names(word) if ranks is None else _pair_names(ranks, _names(word))
         names[chosen] = base + ranks
         base += int(ranks.max()) + 1
     return names
@@ -125,8 +130,9 @@ def repeated_strings(data: np.ndarray, places: np.ndarray, length: int = LENGTH,
 
     All strings lie inside ``data``; ``length`` is at least twice PERIOD.
     """
+    found = np.zeros(len(places), bool)
     if not len(places):
-        return np.zeros(0, bool)
+        return found
     prefix = np.append(_prefix_names(data, part), -1)
     member = np.zeros(PERIOD, bool)
     member[list(COVER)] = True
@@ -138,16 +144,19 @@ def repeated_strings(data: np.ndarray, places: np.ndarray, length: int = LENGTH,
     known = PERIOD
     while known < depth:
         step = min(known, depth - known)
-        rank[sample] = _names([rank[sample], rank[np.minimum(sample + step, len(data))]])
+        rank[sample] = _pair_names(rank[sample], rank[np.minimum(sample + step, len(data))])
         known += step
-    # The rank reaches from the shift to within two periods of the end, which two more prefixes cover.
-    ends = [prefix[places + length - 2 * PERIOD], prefix[places + length - PERIOD]]
-    found = np.zeros(len(places), bool)
+    # The rank reaches from the shift to within two periods of the end; the string's first and last prefixes cover the rest.
+    ends = _pair_names(prefix[places + length - 2 * PERIOD], prefix[places + length - PERIOD])
+    frame = _pair_names(prefix[places], ends)
+    # Strings that are alone with their prefixes are unique; only ties go on to the ranks.
+    tied = np.flatnonzero(np.bincount(frame)[frame] > 1)
+    residue, frame = places[tied] % PERIOD, frame[tied] << 32
     for shift in range(PERIOD):
-        here = np.flatnonzero(member[(places + shift) % PERIOD])
+        here = np.flatnonzero(member[(residue + shift) % PERIOD])
         if len(here) > 1:
-            names = _names([prefix[places[here]], rank[places[here] + shift], ends[0][here], ends[1][here]])
-            found[here[np.bincount(names)[names] > 1]] = True
+            codes = pd.factorize(frame[here] + rank[places[tied[here]] + shift])[0]
+            found[tied[here[np.bincount(codes)[codes] > 1]]] = True
     return found
 
 
@@ -180,17 +189,17 @@ def occurrences(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key[a:b][text]) for key in keys]
                     + [pa.array(found.view(np.int64)), pa.array(digests[:, 0]), pa.array(digests[:, 1])]
-                    + [pa.array(first + shift), pa.array(last + shift)],
-                    ["k1", "k2", "anchor", "c1", "c2", "first", "last"],
+                    + [pa.array(first + shift), pa.array(last + shift), pa.array(place + shift)],
+                    ["k1", "k2", "anchor", "c1", "c2", "first", "last", "place"],
                 )
 
-    schema = "k1 long, k2 long, anchor long, c1 long, c2 long, first long, last long"
+    schema = "k1 long, k2 long, anchor long, c1 long, c2 long, first long, last long, place long"
     return _keyed(docs).filter(F.octet_length("text") >= length).mapInArrow(run, schema)
 
 
-def _context_rows(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``wanted`` (k1, k2, anchor, n, first, last) with the bytes of their contexts."""
-    asked = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "n", "first", "last")).alias("asked"))
+def _context_rows(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """``wanted`` (k1, k2, first, last and COLUMNS) with the bytes of their contexts."""
+    asked = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("last", *CONTEXT_COLUMNS)).alias("asked"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,21 +207,25 @@ def _context_rows(texts: DataFrame, wanted: DataFrame) -> DataFrame:
             for a, b in chunks(offsets):
                 lists = batch.column("asked").slice(a, b - a)
                 owner = a + np.repeat(np.arange(b - a), lists.value_lengths().to_numpy(zero_copy_only=False))
-                flat = lists.flatten()
-                anchor, n, first, last = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
-                begin, sizes = offsets[owner] + first, last - first + LENGTH
-                cuts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                content = data[ranges(begin, sizes)]
-                contexts = pa.Array.from_buffers(
-                    pa.binary(), len(sizes), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(content))]
-                )
-                keys = [batch.column(name).to_numpy()[owner] for name in ("k1", "k2")]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (*keys, anchor, n, first)] + [contexts], ["k1", "k2", "anchor", "n", "first", "bytes"]
-                )
+                last, *others = (field.to_numpy(zero_copy_only=False) for field in lists.flatten().flatten())
+                first = others[CONTEXT_COLUMNS.index("first")]
+                sizes = last - first + length
+                # Contexts of one text overlap, so they are taken a bounded number of bytes at a time.
+                ends = np.cumsum(sizes)
+                for x, y in chunks(np.concatenate([[0], ends])):
+                    cuts = np.concatenate([[0], np.cumsum(sizes[x:y])]).astype(np.int32)
+                    content = data[ranges(offsets[owner[x:y]] + first[x:y], sizes[x:y])]
+                    contexts = pa.Array.from_buffers(
+                        pa.binary(), y - x, [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(content))]
+                    )
+                    keys = [batch.column(name).to_numpy()[owner[x:y]] for name in ("k1", "k2")]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(column) for column in (*keys, *(column[x:y] for column in others))] + [contexts],
+                        ["k1", "k2", *CONTEXT_COLUMNS, "bytes"],
+                    )
 
     joined = texts.join(asked, ["k1", "k2"]).select("k1", "k2", "text", "asked")
-    return joined.mapInArrow(run, "k1 long, k2 long, anchor long, n long, first long, bytes binary")
+    return joined.mapInArrow(run, ", ".join(f"{name} long" for name in ("k1", "k2", *CONTEXT_COLUMNS)) + ", bytes binary")
 
 
 def _sorted_buckets(contexts: DataFrame, length: int) -> DataFrame:
@@ -250,7 +263,7 @@ def _sorted_buckets(contexts: DataFrame, length: int) -> DataFrame:
                     yield solve(held)
                     held, size = [], 0
                 held.append(bucket)
-                size += int(np.diff(_binary(bucket.column("bytes"))[1])[:].sum())
+                size += int(_binary(bucket.column("bytes"))[1][-1])
         if held:
             yield solve(held)
 
@@ -264,41 +277,75 @@ def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def _counted_strings(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for buckets too large to sort: every string is counted by its digest."""
+def _digests(view: memoryview, starts, size: int) -> np.ndarray:
+    joined = b"".join(xxhash.xxh3_128_digest(view[x : x + size]) for x in starts)
+    return np.frombuffer(joined, "<i8").reshape(-1, 2)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _counted_slices(contexts: DataFrame, length: int) -> DataFrame:
+    """The same for buckets too large to sort, as counts that combine before each shuffle.
+
+    Contexts are cut into slices of SLICE places by their distance from the anchor, so that equal strings stand in slices of
+    the same number. A slice that occurs twice repeats whole. Of the distinct slices left, every string is counted.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                view = memoryview(row["bytes"])
-                places = len(view) - length + 1
-                digests = b"".join(xxhash.xxh3_128_digest(view[x : x + length]) for x in range(places))
-                pair = np.frombuffer(digests, "<i8").reshape(-1, 2)
+                view, first = row["bytes"], row["first"]
+                number = (row["place"] - first - np.arange(len(view) - length + 1)) // SLICE
+                begins = np.flatnonzero(np.diff(number, prepend=number[0] + 1))
+                sizes = np.diff(np.append(begins, len(number)))
+                parts = [view[x : x + size + length - 1] for x, size in zip(begins.tolist(), sizes.tolist(), strict=True)]
+                pair = np.frombuffer(b"".join(xxhash.xxh3_128_digest(part) for part in parts), "<i8").reshape(-1, 2)
+                same = [np.full(len(parts), row[name]) for name in ("k1", "k2", "n")]
+                columns = [*same, first + begins, pair[:, 0], pair[:, 1]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in columns] + [pa.array(parts, pa.binary())], ["k1", "k2", "n", "first", "s1", "s2", "bytes"]
+                )
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                places = len(row["bytes"]) - length + 1
+                pair = _digests(memoryview(row["bytes"]), range(places), length)
                 same = [np.full(places, row[name]) for name in ("k1", "k2", "n")]
                 columns = [*same, row["first"] + np.arange(places), pair[:, 0], pair[:, 1]]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["k1", "k2", "n", "first", "s1", "s2"])
-
-    strings = contexts.mapInArrow(run, "k1 long, k2 long, n long, first long, s1 long, s2 long")
-    twice = strings.groupBy("s1", "s2").agg(F.sum("n").alias("times")).filter("times > 1").drop("times")
-    return strings.filter("n = 1").join(twice, ["s1", "s2"]).select("k1", "k2", "first", F.col("first").alias("last"))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["k1", "k2", "n", "first", "t1", "t2"])
+
+    schema = "k1 long, k2 long, n long, first long, s1 long, s2 long, bytes binary"
+    slices = contexts.mapInArrow(cut, schema)
+    # The only occurrence of a slice that occurs once is the smallest one.
+    one = F.min(F.struct("k1", "k2", "first", "bytes")).alias("one")
+    counted = slices.groupBy("s1", "s2").agg(F.sum("n").alias("n"), one).select("s1", "s2", "n", "one.*")
+    last = F.col("first") + F.octet_length("bytes") - length
+    twice = counted.filter("n > 1").select("s1", "s2")
+    whole = slices.filter("n = 1").join(twice, ["s1", "s2"], "left_semi").select("k1", "k2", "first", last.alias("last"))
+    single = counted.select("k1", "k2", "n", "first", "bytes").mapInArrow(
+        strings, "k1 long, k2 long, n long, first long, t1 long, t2 long"
+    )
+    again = single.groupBy("t1", "t2").agg(F.sum("n").alias("times")).filter("times > 1").drop("times")
+    partly = single.filter("n = 1").join(again, ["t1", "t2"], "left_semi")
+    return whole.unionByName(partly.select("k1", "k2", "first", F.col("first").alias("last")))
 
 
 def repeated_places(docs: DataFrame, texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(k1, k2, first, last): runs of places of each text whose string starts anywhere else too."""
+    """(k1, k2, first, last): runs of places of each text whose string starts anywhere else too; runs may come repeatedly."""
     found = occurrences(docs, length)
     # The only occurrence of a context that occurs once is the smallest one.
-    one = F.min(F.struct("k1", "k2", "first", "last", "anchor")).alias("one")
+    one = F.min(F.struct("k1", "k2", "first", "last", "place", "anchor")).alias("one")
     contexts = stored(found.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n"), one).select("c1", "c2", "n", "one.*"), "contexts")
     buckets = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts"), F.min("n").alias("least"))
-    open_buckets = stored(buckets.filter("contexts > 1 and least = 1").select("anchor", "contexts"), "buckets")
-    small, large = open_buckets.filter(F.col("contexts") <= LARGE_BUCKET), open_buckets.filter(F.col("contexts") > LARGE_BUCKET)
-    rows = lambda chosen: _context_rows(texts, contexts.join(chosen.select("anchor"), "anchor"))
-    partly = _sorted_buckets(rows(small), length)
-    if not large.isEmpty():
-        partly = partly.unionByName(_counted_strings(rows(large), length))
-    again = found.select("c1", "c2", "k1", "k2", "first", "last").distinct()
-    wholly = again.join(contexts.filter("n > 1").select("c1", "c2"), ["c1", "c2"], "left_semi")
-    return wholly.select("k1", "k2", "first", "last").unionByName(partly)
+    unsettled = stored(buckets.filter("contexts > 1 and least = 1").select("anchor", "contexts"), "buckets")
+    few, many = unsettled.filter(F.col("contexts") <= LARGE_BUCKET), unsettled.filter(F.col("contexts") > LARGE_BUCKET)
+    partly = _sorted_buckets(_context_rows(texts, contexts.join(few, "anchor"), length), length)
+    if not many.isEmpty():
+        large = _counted_slices(_context_rows(texts, contexts.join(many, "anchor"), length), length)
+        partly = partly.unionByName(large)
+    whole = found.select("c1", "c2", "k1", "k2", "first", "last").join(
+        contexts.filter("n > 1").select("c1", "c2"), ["c1", "c2"], "left_semi"
+    )
+    return whole.select("k1", "k2", "first", "last").unionByName(partly)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
@@ -310,7 +357,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fal
     """
     texts = _keyed(docs).groupBy("k1", "k2").agg(F.max("text").alias("text"))
     spans = repeated_places(docs, texts, length)
-    listed = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    listed = spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
