@@ -30,7 +30,8 @@ from skytracks.llm.tables import stored, whole_text
 from skytracks.llm.textbytes import SliceHashes, chunks, ranges, text_bytes
 
 LENGTH = 400
-RUN = 32
+# Longer runs occur in fewer texts that share no whole string, for somewhat more anchors.
+RUN = 128
 # A difference cover modulo 31: every difference of two residues is one of two members.
 PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
 # Bytes of context sorted together in a task, and distinct contexts of one anchor that a task sorts at all.
