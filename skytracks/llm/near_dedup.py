@@ -10,7 +10,8 @@ all shingles stop at their first point, past the time by which every component i
 Components are banded. Documents that share a band are candidates; exact copies have been made one before. In every
 bucket all documents are compared with one pivot first, by their whole bags; what that connects need not be compared
 again. Members of a bucket that are in different groups then are compared with a second pivot, and at last with each
-other, so that no pair is left out that could still connect two groups.
+other where their similarity could be high enough: shingles that no other candidate has bound it from above, exactly, which
+leaves out the many pairs of a large loose group that cannot reach the limit, and no pair that can.
 """
 
 from __future__ import annotations
@@ -156,24 +157,58 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return pairs.join(right, "b").join(left, "a").mapInArrow(run, "a binary, b binary")
 
 
-def _pivot_pairs(buckets: DataFrame, pivot) -> DataFrame:
+def _shared_weight(texts: DataFrame, contended: DataFrame) -> DataFrame:
+    """(digest, own): the weight of the shingles that no other of the contended texts has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_bytes(batch.column("text"))
+            for a, b in chunks(offsets):
+                words = words_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                text, shingle, weight = bags(*words.shingles())
+                keys = [batch.column(name).to_numpy()[text + a] for name in ("d1", "d2")]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shingle.view(np.int64)), pa.array(weight), *(pa.array(key) for key in keys)],
+                    ["shingle", "weight", "d1", "d2"],
+                )
+
+    halves = [F.conv(F.substring(F.hex("digest"), at, 16), 16, -10).cast("long") for at in (1, 17)]
+    keyed = texts.join(contended, "digest", "left_semi").select("text", halves[0].alias("d1"), halves[1].alias("d2"))
+    shingles = keyed.mapInArrow(run, "shingle long, weight long, d1 long, d2 long")
+    # Of a shingle with one text the largest key is that text's.
+    alone = shingles.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("texts"), F.sum("weight").alias("weight"), F.max("d1").alias("d1"), F.max("d2").alias("d2")
+    )
+    own = alone.filter("texts = 1").groupBy("d1", "d2").agg(F.sum("weight").alias("own"))
+    named = contended.select("digest", halves[0].alias("d1"), halves[1].alias("d2"))
+    return named.join(own, ["d1", "d2"]).select("digest", "own")
+
+
+def _pivot_pairs(buckets: DataFrame, pivot, similarity: float) -> DataFrame:
     """Each member of a bucket with the bucket's pivot, where the two are not in one group yet."""
     pivots = buckets.groupBy("band", "key").agg(pivot(F.struct("digest", "group", "weight")).alias("pivot"))
     met = buckets.join(pivots, ["band", "key"]).filter("group <> pivot.group")
-    return _fitting(met, F.col("pivot.digest"), F.col("pivot.weight"))
+    weight = F.col("pivot.weight")
+    fits = F.least("weight", weight) >= similarity * F.greatest(F.col("weight"), weight)
+    return _ordered(met.filter(fits), F.col("pivot.digest"))
+
 
+def _remaining_pairs(buckets: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Members of one bucket that are in different groups and could be similar enough.
 
-def _all_pairs(buckets: DataFrame) -> DataFrame:
-    """Members of one bucket that are in different groups, each with each."""
-    other = buckets.select("band", "key", *(F.col(c).alias(f"{c}_b") for c in ("digest", "weight", "group")))
-    met = buckets.join(other, ["band", "key"]).filter("group < group_b")
-    return _fitting(met, F.col("digest_b"), F.col("weight_b"))
+    What two texts share is at most what either shares with any other candidate.
+    """
+    own = _shared_weight(texts, buckets.select("digest").distinct())
+    known = buckets.join(own, "digest", "left").withColumn("most", F.col("weight") - F.coalesce("own", F.lit(0)))
+    known = known.filter(F.col("most") >= similarity * F.col("weight")).select("band", "key", "digest", "group", "weight", "most")
+    other = known.select("band", "key", *(F.col(c).alias(f"{c}_b") for c in ("digest", "group", "weight", "most")))
+    both = F.least("most", "most_b")
+    could = both >= similarity * (F.col("weight") + F.col("weight_b") - both)
+    return _ordered(known.join(other, ["band", "key"]).filter((F.col("group") < F.col("group_b")) & could), F.col("digest_b"))
 
 
-def _fitting(met: DataFrame, other, other_weight, similarity: float = SIMILARITY) -> DataFrame:
-    """Distinct pairs whose sizes allow the similarity at all."""
-    fits = F.least("weight", other_weight) >= similarity * F.greatest(F.col("weight"), other_weight)
-    return met.filter(fits).select(F.least("digest", other).alias("a"), F.greatest("digest", other).alias("b")).distinct()
+def _ordered(met: DataFrame, other) -> DataFrame:
+    return met.select(F.least("digest", other).alias("a"), F.greatest("digest", other).alias("b")).distinct()
 
 
 def near_groups(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -186,7 +221,12 @@ def near_groups(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BA
     texts = docs.select(_digest().alias("digest"), whole_text().alias("text"))
     texts = stored(texts.groupBy("digest").agg(F.max("text").alias("text")).join(met, "digest", "left_semi"), "near_texts")
     grouped, groups, tried = buckets.withColumn("group", F.col("digest")), None, None
-    for step in (lambda b: _pivot_pairs(b, F.min), lambda b: _pivot_pairs(b, F.max), _all_pairs):
+    steps = (
+        lambda found: _pivot_pairs(found, F.min, similarity),
+        lambda found: _pivot_pairs(found, F.max, similarity),
+        lambda found: _remaining_pairs(found, texts, similarity),
+    )
+    for step in steps:
         pairs = stored(step(grouped) if tried is None else step(grouped).join(tried, ["a", "b"], "left_anti"), "near_pairs")
         if groups is not None and pairs.isEmpty():
             continue

@@ -335,7 +335,10 @@ def repeated_places(docs: DataFrame, texts: DataFrame, length: int = LENGTH) ->
     found = occurrences(docs, length)
     # The only occurrence of a context that occurs once is the smallest one.
     one = F.min(F.struct("k1", "k2", "first", "last", "place", "anchor")).alias("one")
-    contexts = stored(found.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n"), one).select("c1", "c2", "n", "one.*"), "contexts")
+    counted = found.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n"), one)
+    # Only contexts that occur again are looked up by their digest.
+    digest = [F.when(F.col("n") > 1, F.col(name)).alias(name) for name in ("c1", "c2")]
+    contexts = stored(counted.select(*digest, "n", "one.*"), "contexts")
     buckets = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts"), F.min("n").alias("least"))
     unsettled = stored(buckets.filter("contexts > 1 and least = 1").select("anchor", "contexts"), "buckets")
     few, many = unsettled.filter(F.col("contexts") <= LARGE_BUCKET), unsettled.filter(F.col("contexts") > LARGE_BUCKET)
