@@ -78,13 +78,20 @@ class HourRange:
         end = floor_day(self.end)
         return HourRange(floor_day(self.start), end if end == self.end else end + DAY)
 
-    def steps(self) -> Iterator[tuple[datetime, bool]]:
-        """The range as whole days (``True``) where it covers them and single hours elsewhere."""
+    def steps(self) -> Iterator[tuple[datetime, int]]:
+        """The range as the largest calendar units it covers whole: 1 for a year, 2 a month, 3 a day, 4 an hour."""
         at = self.start
         while at < self.end:
-            is_day = at == floor_day(at) and at + DAY <= self.end
-            yield at, is_day
-            at += DAY if is_day else HOUR
+            day = floor_day(at)
+            units = (
+                (1, day.replace(month=1, day=1), day.replace(year=at.year + 1, month=1, day=1)),
+                (2, day.replace(day=1), (day.replace(day=1) + 32 * DAY).replace(day=1)),
+                (3, day, day + DAY),
+                (4, at, at + HOUR),
+            )
+            level, at_next = next((level, after) for level, begin, after in units if at == begin and after <= self.end)
+            yield at, level
+            at = at_next
 
     def contains(self, ts: Column) -> Column:
         return (ts >= F.lit(self.start)) & (ts < F.lit(self.end))

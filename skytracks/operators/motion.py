@@ -29,18 +29,9 @@ MOTION_INPUTS = (
 )
 
 
-# De-duplicated reports are at most one per second, so a day of one aircraft is under ninety
-# thousand rows, while real aircraft still have far more rows a day than slice edges.
-SLICE = "day"
-# Histories up to this many rows need no slices.
-SHORT_HISTORY = 5_000_000
-
-
-def slices_needed(reports: DataFrame) -> str | None:
-    """The slice width that the longest history calls for; reads only the aircraft column."""
-    per_aircraft = reports.groupBy("icao24").agg(F.count(F.lit(1)).alias("rows"))
-    longest = per_aircraft.agg(F.max("rows").alias("rows")).first()["rows"]
-    return SLICE if (longest or 0) > SHORT_HISTORY else None
+# De-duplicated reports are at most one per second, so a month of one aircraft is under 2.7 million rows, while few of
+# its rows stand next to a slice's edge. Any other unit that date_trunc knows gives the same result.
+SLICE = "month"
 
 
 def _history(reports: DataFrame, slice_by: str | None) -> tuple[list[str], list[Column]]:
@@ -74,8 +65,7 @@ def with_motion(
 ) -> DataFrame:
     """Add previous-report columns, rates, and with ``horizon`` the position that many rows ahead.
 
-    ``slice_by`` only decides how the work is divided; ``None`` is a little faster where
-    ``slices_needed`` has found every history to be short.
+    ``slice_by`` only decides how the work is divided; ``None`` puts each history into one task.
     """
     order, slices = _history(reports, slice_by)
     looked_up = with_neighbours(

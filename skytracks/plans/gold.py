@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from skytracks.functions.times import HOUR, as_utc
 from skytracks.operators.clean import recent, with_ingest_date
 from skytracks.plans.silver import LoadMode, written_hours
-from skytracks.schemas import GOLD_DAY_KEY, LOOKBACK
+from skytracks.schemas import GOLD_DAY_KEY, LOOKBACK, SILVER_HOUR_KEYS
 from skytracks.sources.lake import read_if_present, read_silver, write_gold
 from skytracks.sources.tables import write_table
 
@@ -46,9 +46,10 @@ def load_gold(
         fresh = silver
     else:
         moment = as_utc(as_of)
-        days = written_hours(moment, lookback, overlap).whole_days()
-        silver = read_if_present(lambda: read_silver(spark, silver_path, days, merge_schema))
-        fresh = None if silver is None else recent(silver, moment, lookback)
+        hours = written_hours(moment, lookback, overlap)
+        silver = read_if_present(lambda: read_silver(spark, silver_path, hours.whole_days(), merge_schema))
+        # What silver may have written: its whole hours, which begin before as_of - lookback.
+        fresh = None if silver is None else silver.filter(hours.prunes(SILVER_HOUR_KEYS))
     if fresh is None or fresh.isEmpty():
         return None
     rows = gold_rows(silver)

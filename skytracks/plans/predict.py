@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skytracks.functions.times import HourRange
 from skytracks.operators.forest import feature_list, predictions
-from skytracks.operators.motion import SLICE, motion_inputs, previous_for, scoring_rows, slices_needed, with_motion
-from skytracks.sources.lake import read_silver, write_predictions
+from skytracks.operators.motion import SLICE, motion_inputs, previous_for, scoring_rows, with_motion
+from skytracks.sources.lake import read_if_present, read_silver, write_predictions
 from skytracks.sources.models import load_model
 
 
@@ -25,9 +25,11 @@ def predict(
     models_path: str,
     predictions_path: str,
     hours: HourRange | None = None,
-) -> str:
-    """Score silver (or the ``hours`` of it) and replace the predictions table."""
-    silver = read_silver(spark, silver_path, hours)
-    scored = predicted_positions(load_model(models_path), silver, slices_needed(silver))
+) -> str | None:
+    """Score silver (or the ``hours`` of it) and replace the predictions table; None when there is no silver yet."""
+    silver = read_if_present(lambda: read_silver(spark, silver_path, hours))
+    if silver is None:
+        return None
+    scored = predicted_positions(load_model(models_path), silver)
     write_predictions(scored, predictions_path)
     return predictions_path

@@ -66,7 +66,7 @@ def load_silver(
         return silver_path
     hours = written_hours(as_utc(as_of), lookback, overlap)
     bronze = read_if_present(lambda: read_bronze(spark, bronze_path, hours.widened(before=overlap)))
-    if bronze is None:
+    if bronze is None or bronze.isEmpty():
         return None
     write_silver(hour_rows(bronze, hours), silver_path, "replace")
     return silver_path

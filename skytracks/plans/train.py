@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from skytracks.functions.times import HourRange
 from skytracks.operators.forest import apply_forests, assembler, fit_forests, rmse_by_target
-from skytracks.operators.motion import SLICE, motion_inputs, previous_for, slices_needed, training_rows, with_motion
+from skytracks.operators.motion import SLICE, motion_inputs, previous_for, training_rows, with_motion
 from skytracks.operators.split import in_train_part, random_parts
 from skytracks.schemas import FEATURES_14, HORIZON_ROWS, TARGETS
 from skytracks.session import cut_lineage
@@ -32,6 +32,10 @@ def training_set(
     return training_rows(moving, features)
 
 
+# Rows of one part of the training table. Parts follow from the rows alone, so that a model does not depend on the cluster.
+ROWS_PER_PART = 20_000
+
+
 def fit_and_evaluate(
     rows: DataFrame, features: Sequence[str] = FEATURES_14, split: Split = "hash", **forest_params
 ) -> tuple[PipelineModel, DataFrame]:
@@ -40,21 +44,18 @@ def fit_and_evaluate(
     The assembled rows are stored once in the shared folder: all fits and the evaluation read
     that copy instead of repeating the windows, also after an executor is lost.
     """
-    columns = ["features", *TARGETS.values()]
+    columns = ["icao24", "time_position", "features", *TARGETS.values()]
     if split == "hash":
         columns.append(in_train_part().alias("is_train"))
     stored = cut_lineage(assembler(features).transform(rows).select(*columns))
-    cores, parts = stored.sparkSession.sparkContext.defaultParallelism, stored.rdd.getNumPartitions()
-    if parts < cores:
-        # Fitting is compute-bound: use every core for few rows.
-        stored = stored.repartition(cores)
+    parts = max(1, -(-stored.count() // ROWS_PER_PART))
+    keys = ["icao24", "time_position", *TARGETS.values()]
+    stored = stored.repartition(parts, *keys).sortWithinPartitions(*keys)
     if split == "hash":
         train, test = stored.filter("is_train"), stored.filter(~F.col("is_train"))
     else:
         train, test = random_parts(stored)
-    # Each fit caches its own form of the rows. Side by side only pays while cores would idle.
-    settings = {"at_once": len(TARGETS) if parts <= 2 * cores else 1} | forest_params
-    model = fit_forests(train, features, **settings)
+    model = fit_forests(train, features, **forest_params)
     return model, rmse_by_target(apply_forests(model, test))
 
 
@@ -68,9 +69,12 @@ def train(
     hours: HourRange | None = None,
     **forest_params,
 ) -> DataFrame:
-    """Fit on silver (or the ``hours`` of it), save the model and return (target, rmse, rows)."""
+    """Fit on silver (or the ``hours`` of it), save the model and return (target, rmse, rows).
+
+    ``at_once`` forests are fitted side by side, which pays while the rows leave cores idle.
+    """
     silver = read_silver(spark, silver_path, hours)
-    rows = training_set(silver, features, horizon, slices_needed(silver))
+    rows = training_set(silver, features, horizon)
     model, errors = fit_and_evaluate(rows, features, split, **forest_params)
     save_model(model, models_path)
     return errors

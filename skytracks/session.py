@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +41,7 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by the cluster in ``spark.checkpoint.dir``.
 
-    Only a local-mode session without the setting gets a temporary folder of its own.
+    Only a local-mode session without the setting falls back to a folder of its own warehouse.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -53,7 +52,7 @@ def shared_dir(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="skytracks-"))
+        context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints")
     return context.getCheckpointDir()
 
 
@@ -63,6 +62,7 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Store ``df`` in the shared folder; later jobs read it and survive lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Store ``df`` as Parquet in the shared folder; later jobs read the columns they need and survive lost executors."""
+    path = fresh_dir(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,9 +13,6 @@ from pyspark.sql.types import StructType
 from skytracks.functions.times import HourRange
 from skytracks.schemas import BRONZE_TABLE, GOLD_DAY_KEY, INGEST_HOUR_KEYS, SILVER_HOUR_KEYS, SILVER_TABLE
 
-# Above this many named directories a full listing of the table is the cheaper way in.
-MAX_NAMED_DIRS = 2000
-
 WriteMode = Literal["append", "overwrite", "replace"]
 
 
@@ -26,7 +23,7 @@ def read_snapshots(spark: SparkSession, path: str, one_per_line: bool = False) -
 
 def read_bronze(spark: SparkSession, path: str, hours: HourRange | None = None) -> DataFrame:
     """Bronze rows with their hour keys and ``source_file``; ``hours`` limits both listing and reading."""
-    rows = _read_hours(spark, "json", BRONZE_TABLE, path, INGEST_HOUR_KEYS, hours, pad=True)
+    rows = _read_hours(spark, "json", BRONZE_TABLE, path, INGEST_HOUR_KEYS, hours)
     return rows.select("*", F.col("_metadata.file_path").alias("source_file"))
 
 
@@ -41,7 +38,7 @@ def read_silver(
     if merge_schema:
         whole = spark.read.option("mergeSchema", True).parquet(path)
         return whole if hours is None else whole.filter(hours.prunes(SILVER_HOUR_KEYS))
-    return _read_hours(spark, "parquet", SILVER_TABLE, path, SILVER_HOUR_KEYS, hours, pad=False)
+    return _read_hours(spark, "parquet", SILVER_TABLE, path, SILVER_HOUR_KEYS, hours)
 
 
 def read_flat(spark: SparkSession, path: str) -> DataFrame:
@@ -66,27 +63,27 @@ def _read_hours(
     path: str,
     keys: Sequence[str],
     hours: HourRange | None,
-    pad: bool,
 ) -> DataFrame:
+    """All rows, or those of ``hours``: an empty frame when the table has none of them, whatever their number."""
     reader = spark.read.format(fmt).schema(schema)
     if hours is None:
         return reader.load(path)
-    dirs = _named_dirs(keys, hours, pad)
     root = path.rstrip("/")
-    if len(dirs) > MAX_NAMED_DIRS:
-        rows = reader.load(root)
-    else:
-        # One pattern, so that hours without data are simply absent.
-        rows = reader.option("basePath", root).load(f"{root}/{{{','.join(dirs)}}}")
+    # One pattern, so that hours without data are simply absent.
+    pattern = f"{root}/{{{','.join(_named_dirs(keys, hours))}}}"
+    named = read_if_present(lambda: spark.read.format(fmt).schema(schema).option("basePath", root).load(pattern))
+    rows = reader.load(root) if named is None else named
     return rows.filter(hours.prunes(keys))
 
 
-def _named_dirs(keys: Sequence[str], hours: HourRange, pad: bool) -> list[str]:
+def _named_dirs(keys: Sequence[str], hours: HourRange) -> list[str]:
+    """The directories of a range in both forms of their keys: about 150 of either at most, and one per whole year."""
     dirs = []
-    for at, is_day in hours.steps():
-        values = (at.year, at.month, at.day) if is_day else (at.year, at.month, at.day, at.hour)
-        dirs.append("/".join(f"{key}={value:02d}" if pad else f"{key}={value}" for key, value in zip(keys, values)))
-    return dirs
+    for at, level in hours.steps():
+        parts = list(zip(keys, (at.year, at.month, at.day, at.hour)[:level]))
+        dirs.append("/".join(f"{key}={value}" for key, value in parts))
+        dirs.append("/".join(f"{key}={value:02d}" for key, value in parts))
+    return list(dict.fromkeys(dirs))
 
 
 def clustered(rows: DataFrame, keys: Sequence[str], within: Sequence[str] = ()) -> DataFrame:

@@ -70,14 +70,6 @@ def test_slice_width_does_not_matter(spark, width):
     assert found.count() == 400
 
 
-def test_slices_only_for_long_histories(spark, monkeypatch):
-    df = reports(spark, random.Random(1), aircraft=2, rows=50, days=2)
-    assert motion.slices_needed(df) is None
-    monkeypatch.setattr(motion, "SHORT_HISTORY", 10)
-    assert motion.slices_needed(df) == "day"
-    assert motion.slices_needed(df.limit(0)) is None
-
-
 def test_one_data_shuffle_is_shared(spark, bronze):
     rows = motion.with_motion(motion.motion_inputs(typed_times(bronze({}, {"time_position": None}))), horizon=5)
     rows.collect()

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as driver
 from conftest import SMALL
 
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = driver.QUERIES, driver.ORACLES
 ROWS_ONLY = {"rf_rmse", "predictions"}
 
 

@@ -33,10 +33,12 @@ def test_covering_hours():
 
 def test_directories_use_whole_days():
     hours = HourRange(utc(2023, 12, 31, 22), utc(2024, 1, 2, 1))
-    assert _named_dirs(SILVER_HOUR_KEYS, hours, pad=True) == [
+    assert _named_dirs(SILVER_HOUR_KEYS, hours) == [
         "year=2023/month=12/day=31/hour=22",
         "year=2023/month=12/day=31/hour=23",
+        "year=2024/month=1/day=1",
         "year=2024/month=01/day=01",
+        "year=2024/month=1/day=2/hour=0",
         "year=2024/month=01/day=02/hour=00",
     ]
     assert _named_dirs(SILVER_HOUR_KEYS, hours, pad=False)[-1] == "year=2024/month=1/day=2/hour=0"
