@@ -9,8 +9,8 @@ all shingles stop at their first point, past the time by which every component i
 
 Components are banded. Documents that share a band are candidates; exact copies have been made one before. In every
 bucket all documents are compared with one pivot first, by their whole bags; what that connects need not be compared
-again. Members of a bucket that are in different groups then are compared with a second pivot, and at last with each
-other where their similarity could be high enough: shingles that no other candidate has bound it from above, exactly, which
+again. Members of a bucket that are in different groups then are compared with its most central member, and at last with each
+other, where their similarity could be high enough: shingles that no other candidate has bound it from above, exactly, which
 leaves out the many pairs of a large loose group that cannot reach the limit, and no pair that can.
 """
 
@@ -184,23 +184,26 @@ def _shared_weight(texts: DataFrame, contended: DataFrame) -> DataFrame:
     return named.join(own, ["d1", "d2"]).select("digest", "own")
 
 
-def _pivot_pairs(buckets: DataFrame, pivot, similarity: float) -> DataFrame:
-    """Each member of a bucket with the bucket's pivot, where the two are not in one group yet."""
-    pivots = buckets.groupBy("band", "key").agg(pivot(F.struct("digest", "group", "weight")).alias("pivot"))
+def _pivot_pairs(buckets: DataFrame, central, similarity: float) -> DataFrame:
+    """Each member of a bucket with the bucket's pivot, its most ``central`` one, where the two are not in one group yet."""
+    pivots = buckets.groupBy("band", "key").agg(F.max(F.struct(central.alias("central"), "digest", "group", "weight")).alias("pivot"))
     met = buckets.join(pivots, ["band", "key"]).filter("group <> pivot.group")
     weight = F.col("pivot.weight")
     fits = F.least("weight", weight) >= similarity * F.greatest(F.col("weight"), weight)
     return _ordered(met.filter(fits), F.col("pivot.digest"))
 
 
-def _remaining_pairs(buckets: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+def _with_most(buckets: DataFrame, own: DataFrame, similarity: float) -> DataFrame:
+    """Members that can still be similar to another, with ``most``, the weight they can share at all."""
+    known = buckets.join(own, "digest", "left").withColumn("most", F.col("weight") - F.coalesce("own", F.lit(0)))
+    return known.filter(F.col("most") >= similarity * F.col("weight")).select("band", "key", "digest", "group", "weight", "most")
+
+
+def _remaining_pairs(known: DataFrame, similarity: float) -> DataFrame:
     """Members of one bucket that are in different groups and could be similar enough.
 
     What two texts share is at most what either shares with any other candidate.
     """
-    own = _shared_weight(texts, buckets.select("digest").distinct())
-    known = buckets.join(own, "digest", "left").withColumn("most", F.col("weight") - F.coalesce("own", F.lit(0)))
-    known = known.filter(F.col("most") >= similarity * F.col("weight")).select("band", "key", "digest", "group", "weight", "most")
     other = known.select("band", "key", *(F.col(c).alias(f"{c}_b") for c in ("digest", "group", "weight", "most")))
     both = F.least("most", "most_b")
     could = both >= similarity * (F.col("weight") + F.col("weight_b") - both)
@@ -220,13 +223,17 @@ def near_groups(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BA
     met = buckets.select("digest").distinct()
     texts = docs.select(_digest().alias("digest"), whole_text().alias("text"))
     texts = stored(texts.groupBy("digest").agg(F.max("text").alias("text")).join(met, "digest", "left_semi"), "near_texts")
-    grouped, groups, tried = buckets.withColumn("group", F.col("digest")), None, None
+    grouped, groups, tried, own = buckets.withColumn("group", F.col("digest")), None, None, None
     steps = (
-        lambda found: _pivot_pairs(found, F.min, similarity),
-        lambda found: _pivot_pairs(found, F.max, similarity),
-        lambda found: _remaining_pairs(found, texts, similarity),
+        # Any pivot first: most buckets are small and settled by it.
+        lambda found: _pivot_pairs(found, F.xxhash64("digest"), similarity),
+        # Then the member with the least of its own, which is nearest to what a group of copies was made from.
+        lambda found: _pivot_pairs(_with_most(found, own, similarity), F.col("most") / F.col("weight"), similarity),
+        lambda found: _remaining_pairs(_with_most(found, own, similarity), similarity),
     )
     for step in steps:
+        if groups is not None and own is None:
+            own = stored(_shared_weight(texts, grouped.select("digest").distinct()), "own_weight")
         pairs = stored(step(grouped) if tried is None else step(grouped).join(tried, ["a", "b"], "left_anti"), "near_pairs")
         if groups is not None and pairs.isEmpty():
             continue
