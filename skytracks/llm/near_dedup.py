@@ -199,15 +199,18 @@ def _with_most(buckets: DataFrame, own: DataFrame, similarity: float) -> DataFra
     return known.filter(F.col("most") >= similarity * F.col("weight")).select("band", "key", "digest", "group", "weight", "most")
 
 
-def _remaining_pairs(known: DataFrame, similarity: float) -> DataFrame:
+def _remaining_pairs(known: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
     """Members of one bucket that are in different groups and could be similar enough.
 
-    What two texts share is at most what either shares with any other candidate.
+    What two texts share is at most what either shares with any other candidate. A pair that shares several bands is made
+    in the first of them only.
     """
-    other = known.select("band", "key", *(F.col(c).alias(f"{c}_b") for c in ("digest", "group", "weight", "most")))
+    known = known.join(sketches.select("digest", "keys"), "digest").withColumn("keys", F.slice("keys", 1, F.col("band")))
+    other = known.select("band", "key", *(F.col(c).alias(f"{c}_b") for c in ("digest", "group", "weight", "most", "keys")))
+    earlier = F.exists(F.zip_with("keys", "keys_b", lambda x, y: x == y), lambda same: same)
     both = F.least("most", "most_b")
     could = both >= similarity * (F.col("weight") + F.col("weight_b") - both)
-    return _ordered(known.join(other, ["band", "key"]).filter((F.col("group") < F.col("group_b")) & could), F.col("digest_b"))
+    return _ordered(known.join(other, ["band", "key"]).filter((F.col("group") < F.col("group_b")) & could & ~earlier), F.col("digest_b"))
 
 
 def _ordered(met: DataFrame, other) -> DataFrame:
@@ -229,7 +232,7 @@ def near_groups(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BA
         lambda found: _pivot_pairs(found, F.xxhash64("digest"), similarity),
         # Then the member with the least of its own, which is nearest to what a group of copies was made from.
         lambda found: _pivot_pairs(_with_most(found, own, similarity), F.col("most") / F.col("weight"), similarity),
-        lambda found: _remaining_pairs(_with_most(found, own, similarity), similarity),
+        lambda found: _remaining_pairs(_with_most(found, own, similarity), sketches, similarity),
     )
     for step in steps:
         if groups is not None and own is None:
