@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
@@ -69,6 +69,18 @@ class HourRange:
         """From the hour of ``as_of - lookback`` through the hour of ``as_of``."""
         return cls(floor_hour(as_of - lookback), floor_hour(as_of) + HOUR)
 
+    @classmethod
+    def around(cls, hours: Iterable[datetime], after: timedelta, gap: timedelta = DAY) -> list[HourRange]:
+        """Ranges, in order, that hold ``hours`` and ``after`` past each; those less than ``gap`` apart become one."""
+        found: list[HourRange] = []
+        for begin in sorted(hours):
+            whole = cls(begin, begin + HOUR).widened(after=after)
+            if found and whole.start - found[-1].end < gap:
+                found[-1] = cls(found[-1].start, max(found[-1].end, whole.end))
+            else:
+                found.append(whole)
+        return found
+
     def widened(self, before: timedelta = timedelta(0), after: timedelta = timedelta(0)) -> HourRange:
         end = self.end + after
         whole = floor_hour(end)

@@ -123,6 +123,24 @@ def _stay_error(name: str, now: str, label: str) -> str:
            f"count(*) AS rows FROM training"
 
 
+def _mean_error(name: str, label: str) -> str:
+    return f"SELECT '{name}' AS target, round(sqrt(avg(pow({label} - mean_{name}, 2))), 6) AS rmse, " \
+           f"count(*) AS rows FROM flagged, means WHERE NOT is_train"
+
+
+_MEANS = f"""{_TRAINING}, means AS (
+  SELECT {', '.join(f'avg({label}) AS mean_{name}' for name, label in TARGETS.items())} FROM flagged WHERE is_train
+)"""
+_SCORABLE = " AND ".join(f"{name} IS NOT NULL" for name in FEATURES_14)
+_LOADED = f"""{_BRONZE}, overlapping AS (
+  SELECT * FROM valid
+  WHERE ingest_ts >= TIMESTAMP '2024-01-14 23:00:00' AND ingest_ts < TIMESTAMP '2024-01-15 14:00:00'
+  QUALIFY {_FIRST}
+), silver AS (
+  SELECT *, {_SILVER_HOUR} FROM overlapping WHERE ingest_ts >= TIMESTAMP '2024-01-15 00:00:00'
+)"""
+
+
 ORACLES: dict[str, str] = {
     "bronze_scan": f"{_BRONZE} SELECT * FROM bronze",
     "bronze_roundtrip": f"{_BRONZE} {_WITH_INGEST_HOUR}",
@@ -140,13 +158,17 @@ ORACLES: dict[str, str] = {
     "silver_parts": f"{_SILVER} SELECT year, month, day, hour, count(*) AS rows FROM silver "
                     "GROUP BY year, month, day, hour",
     "silver_roundtrip": f"{_SILVER} {_SILVER_WITH_INGEST}",
-    "silver_incremental": f"""{_BRONZE}, overlapping AS (
-        SELECT * FROM valid
-        WHERE ingest_ts >= TIMESTAMP '2024-01-14 23:00:00' AND ingest_ts < TIMESTAMP '2024-01-15 14:00:00'
-        QUALIFY {_FIRST}
-      ), silver AS (
-        SELECT *, {_SILVER_HOUR} FROM overlapping WHERE ingest_ts >= TIMESTAMP '2024-01-15 00:00:00'
-      ) {_SILVER_WITH_INGEST}""",
+    "silver_incremental": f"{_LOADED} {_SILVER_WITH_INGEST}",
+    "stream_silver_rows": f"{_SILVER} {_SILVER_WITH_INGEST}",
+    "gold_incremental": f"{_LOADED} SELECT {_GOLD}, {_INGEST_HOUR} FROM silver",
+    "whole_run": f"""{_BRONZE}, silver AS (
+        SELECT *, {_SILVER_HOUR} FROM valid WHERE {_IN_DEFAULT_BOX} QUALIFY {_FIRST}
+      ) SELECT {_GOLD}, {_INGEST_HOUR} FROM silver""",
+    "forest_mean_rmse": f"{_MEANS} " + " UNION ALL ".join(_mean_error(*target) for target in TARGETS.items()),
+    "forest_mean_predictions": f"""{_MEANS} SELECT icao24, {_POSITION_TIME}, lat, lon, baro_altitude,
+        {', '.join(f'round(mean_{name}, 6) AS predicted_{name}' for name in TARGETS)}
+        FROM motion, means WHERE {_SCORABLE}""",
+    "predictions_in_range": f"{_MOTION} SELECT icao24, {_POSITION_TIME}, TRUE AS in_range FROM motion WHERE {_SCORABLE}",
     "stream_silver_keys": f"{_BRONZE} SELECT DISTINCT icao24, {_POSITION_TIME} FROM valid",
     "motion_features": f"""{_MOTION}
         SELECT * EXCLUDE (future_lat, future_lon, future_alt) REPLACE ({_MOTION_TIMES}) FROM motion""",

@@ -7,14 +7,15 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import SparkSession
 
-from skytracks.functions.times import as_utc
+from skytracks.functions.times import HOUR, as_utc
 from skytracks.plans.gold import load_gold
-from skytracks.plans.ingest import ingest
 from skytracks.plans.predict import predict
 from skytracks.plans.silver import LoadMode, load_silver
 from skytracks.plans.train import train
-from skytracks.schemas import LOOKBACK, BoundingBox
+from skytracks.schemas import HORIZON_ROWS, LOOKBACK, BoundingBox
 from skytracks.session import pin_utc
+from skytracks.sources.lake import read_if_present, read_silver, read_snapshots
+from skytracks.streaming.bronze import stream_bronze
 
 
 @dataclass(frozen=True)
@@ -46,6 +47,10 @@ class Lake:
     def models(self) -> str:
         return self.path("models")
 
+    @property
+    def errors(self) -> str:
+        return self.path("models/position_errors")
+
 
 def run(
     spark: SparkSession,
@@ -59,18 +64,39 @@ def run(
     with_training: bool = False,
     with_predictions: bool = True,
     table: str | None = None,
+    overlap: timedelta = HOUR,
+    on_malformed: str = "fail",
+    horizon: int = HORIZON_ROWS,
 ) -> dict[str, str | None]:
-    """Ingest, silver, optional training and scoring, gold. Returns where each stage wrote."""
+    """Ingest, silver, optional training and scoring, gold. Returns where each stage wrote.
+
+    Landed documents are taken once, also by repeated runs. The errors of a training, a row per
+    target, are kept at ``Lake.errors``. A stage without input writes nothing and gives None.
+    """
     pin_utc(spark)
     lake, moment = Lake(root), as_utc(as_of)
     done: dict[str, str | None] = {}
     if landing_path is not None:
-        done["bronze"] = ingest(spark, landing_path, lake.bronze, box, one_per_line)
-    done["silver"] = load_silver(spark, lake.bronze, lake.silver, mode, moment, lookback)
+        done["bronze"] = _ingest_new(spark, landing_path, lake, box, one_per_line, on_malformed)
+    done["silver"] = load_silver(spark, lake.bronze, lake.silver, mode, moment, lookback, overlap)
     if with_training:
-        train(spark, lake.silver, lake.models)
-        done["models"] = lake.models
+        done["models"] = None
+        if read_if_present(lambda: read_silver(spark, lake.silver)) is not None:
+            errors = train(spark, lake.silver, lake.models, horizon=horizon)
+            errors.write.mode("overwrite").parquet(lake.errors)
+            done["models"] = lake.models
     if with_predictions:
         done["predictions"] = predict(spark, lake.silver, lake.models, lake.predictions)
-    done["gold"] = load_gold(spark, lake.silver, lake.gold, mode, moment, lookback, table=table)
+    done["gold"] = load_gold(spark, lake.silver, lake.gold, mode, moment, lookback, overlap, table)
     return done
+
+
+def _ingest_new(
+    spark: SparkSession, landing_path: str, lake: Lake, box: BoundingBox | None, one_per_line: bool, on_malformed: str
+) -> str | None:
+    if read_if_present(lambda: read_snapshots(spark, landing_path, one_per_line)) is None:
+        return None
+    stream_bronze(
+        spark, landing_path, lake.bronze, lake.path("ingest_progress"), box, one_per_line, on_malformed
+    ).awaitTermination()
+    return lake.bronze

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +18,9 @@ from skytracks.operators.snapshot import flatten_snapshots, with_ingest_hour
 from skytracks.operators.split import in_train_part
 from skytracks.plans import fixtures, gold, silver
 from skytracks.plans.ingest import ingest
-from skytracks.plans.predict import predicted_positions
-from skytracks.plans.train import fit_and_evaluate, training_set
+from skytracks.plans.pipeline import Lake, run
+from skytracks.plans.predict import predict, predicted_positions
+from skytracks.plans.train import fit_and_evaluate, train, training_set
 from skytracks.schemas import BRONZE, FEATURES_8, FEATURES_14, GOLD_DAY_KEY, SILVER_HOUR_KEYS, TARGETS, BoundingBox
 from skytracks.session import fresh_dir, pin_utc
 from skytracks.sources.lake import read_bronze, read_flat, read_silver, write_bronze, write_silver
@@ -179,6 +182,14 @@ def stream_silver_keys(spark, sf_dir):
     return read_silver(spark, path).select("icao24", "time_position")
 
 
+@_registered
+def stream_silver_rows(spark, sf_dir):
+    """Silver through the file stream, in several batches."""
+    bronze, path = _bronze_table(spark, sf_dir), fresh_dir(spark, "silver")
+    stream_silver(spark, bronze, path, fresh_dir(spark, "stream"), maxFilesPerTrigger=400).awaitTermination()
+    return read_silver(spark, path).drop("source_file")
+
+
 # --- motion and training rows -------------------------------------------------------------
 
 
@@ -281,6 +292,26 @@ def gold_roundtrip(spark, sf_dir):
     return spark.read.parquet(path).drop("source_file")
 
 
+@_registered
+def gold_incremental(spark, sf_dir):
+    """Twelve hours loaded into silver and published, and then both again."""
+    bronze, path, published = _bronze_table(spark, sf_dir), fresh_dir(spark, "silver"), fresh_dir(spark, "gold")
+    for _ in range(2):
+        silver.load_silver(spark, bronze, path, "incremental", AS_OF, lookback=12 * silver.HOUR)
+        gold.load_gold(spark, path, published, "incremental", AS_OF, lookback=12 * silver.HOUR)
+    return spark.read.parquet(published).drop("source_file")
+
+
+@_registered
+def whole_run(spark, sf_dir):
+    """Landed documents to published gold by the whole run, and then the same run again."""
+    landing, root = fresh_dir(spark, "landing"), fresh_dir(spark, "lake")
+    fixtures.snapshot_documents(spark, sf_dir).write.text(landing)
+    for _ in range(2):
+        run(spark, root, landing, "full", AS_OF, one_per_line=True, with_predictions=False)
+    return spark.read.parquet(Lake(root).gold).drop("source_file")
+
+
 @_registered
 def gold_merged_scan(spark, sf_dir):
     """Recursive scan of silver with merged schema: the directory keys are gone."""
@@ -328,6 +359,43 @@ def rf_rmse(spark, sf_dir):
     return fit_and_evaluate(training_set(_silver(spark, sf_dir)))[1]
 
 
+# A forest of one tree without splits predicts the mean of its train part.
+MEAN_FOREST = {"num_trees": 1, "maxDepth": 0, "bootstrap": False}
+
+
+@_registered
+def forest_mean_rmse(spark, sf_dir):
+    """Error, on the test part, of forests that predict the mean of the train part."""
+    errors = fit_and_evaluate(training_set(_silver(spark, sf_dir)), **MEAN_FOREST)[1]
+    return errors.withColumn("rmse", F.round("rmse", 6))
+
+
+@_registered
+def forest_mean_predictions(spark, sf_dir):
+    """Such forests fitted on silver files, saved, loaded, applied; their predictions written and read."""
+    path, models, scored = _silver_table(spark, sf_dir), fresh_dir(spark, "models"), fresh_dir(spark, "predictions")
+    train(spark, path, models, **MEAN_FOREST)
+    predict(spark, path, models, scored)
+    names = [f"predicted_{name}" for name in TARGETS]
+    return spark.read.parquet(scored).withColumns({name: F.round(name, 6) for name in names})
+
+
+@_registered
+def predictions_in_range(spark, sf_dir):
+    """Scored reports, and whether each prediction lies between the least and largest target of the train part."""
+    rows = _silver(spark, sf_dir)
+    known = training_set(rows)
+    model, _ = fit_and_evaluate(known)
+    bounds = known.filter(in_train_part()).agg(
+        *(extreme(label).alias(f"{end}_{name}") for name, label in TARGETS.items()
+          for end, extreme in (("least", F.min), ("most", F.max)))
+    )
+    # One row of bounds, met by a constant key.
+    scored = predicted_positions(model, rows).withColumn("one", F.lit(1)).join(bounds.withColumn("one", F.lit(1)), "one")
+    inside = [F.col(f"predicted_{name}").between(F.col(f"least_{name}"), F.col(f"most_{name}")) for name in TARGETS]
+    return scored.select("icao24", "time_position", reduce(and_, inside).alias("in_range"))
+
+
 @_registered
 def predictions(spark, sf_dir):
     """Predicted positions of all silver rows with complete features."""

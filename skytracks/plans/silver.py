@@ -64,7 +64,13 @@ def load_silver(
             return None
         write_silver(silver_rows(bronze), silver_path, "overwrite")
         return silver_path
-    hours = written_hours(as_utc(as_of), lookback, overlap)
+    return load_hours(spark, bronze_path, silver_path, written_hours(as_utc(as_of), lookback, overlap), overlap)
+
+
+def load_hours(
+    spark: SparkSession, bronze_path: str, silver_path: str, hours: HourRange, overlap: timedelta = HOUR
+) -> str | None:
+    """Replace the ``hours`` of silver by what bronze has of them; None when it has nothing near them."""
     bronze = read_if_present(lambda: read_bronze(spark, bronze_path, hours.widened(before=overlap)))
     if bronze is None or bronze.isEmpty():
         return None

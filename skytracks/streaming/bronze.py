@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from skytracks.functions.times import HOUR, HourRange
+from skytracks.operators.snapshot import with_ingest_hour
 from skytracks.plans.ingest import bronze_rows
-from skytracks.schemas import INGEST_HOUR_KEYS, BoundingBox
+from skytracks.schemas import BRONZE, BoundingBox
+from skytracks.sources.lake import read_bronze, read_if_present, write_bronze
+from skytracks.streaming.silver import touched_hours
+
+
+def _not_yet_written(rows: DataFrame, bronze_path: str) -> DataFrame:
+    """``rows`` without those their hours hold already, as often as they hold them."""
+    hours = touched_hours(rows)
+    if not hours:
+        return rows
+    span = HourRange(min(hours), max(hours) + HOUR)
+    there = read_if_present(lambda: read_bronze(rows.sparkSession, bronze_path, span))
+    if there is None:
+        return rows
+    return with_ingest_hour(rows.select(*BRONZE.names).exceptAll(there.select(*BRONZE.names)))
 
 
 def stream_bronze(
@@ -16,17 +32,26 @@ def stream_bronze(
     checkpoint: str,
     box: BoundingBox | None = BoundingBox(),
     one_per_line: bool = False,
+    on_malformed: str = "fail",
     **source_options,
 ) -> StreamingQuery:
-    """Flatten documents not seen before into bronze, then stop; each document exactly once."""
+    """Append the rows of documents not seen before to bronze, then stop.
+
+    Files are written as ``plans.ingest.ingest`` writes them, so both may write one table. A batch
+    that an earlier start began is compared with what its hours hold, and only what they lack is
+    written. A malformed document stops the stream, or is left out with ``on_malformed="skip"``.
+    """
     documents = spark.readStream.options(**source_options).text(landing_path, wholetext=not one_per_line)
-    return (
-        bronze_rows(documents, box)
-        .writeStream.format("json")
-        .partitionBy(*INGEST_HOUR_KEYS)
-        .option("path", bronze_path)
-        .option("ignoreNullFields", "false")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+    def append(batch: DataFrame, number: int) -> None:
+        # The batch has a session of its own, where adaptive execution may be off.
+        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", spark.conf.get("spark.sql.adaptive.enabled"))
+        rows, begun = bronze_rows(batch, box, on_malformed), f"{checkpoint.rstrip('/')}/begun/{number}"
+        if read_if_present(lambda: spark.read.text(begun)) is None:
+            spark.range(1).selectExpr("string(id) AS value").write.text(begun)
+        else:
+            rows = _not_yet_written(rows, bronze_path)
+        write_bronze(rows, bronze_path)
+
+    stream = documents.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+    return stream.trigger(availableNow=True).start()

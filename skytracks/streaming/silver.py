@@ -2,40 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from skytracks.operators.clean import typed_times, valid_reports, with_silver_hour
-from skytracks.schemas import BRONZE_TABLE, REPORT_KEY, SEED, SILVER_HOUR_KEYS
-
-# Copies of one report are first dropped within this many random groups of rows.
-SALT_GROUPS = 32
-# Files per hour directory and batch; a hot hour is written by as many tasks.
-FILES_PER_HOUR = 8
-
-
-def first_seen(reports: DataFrame, delay: str, salt_groups: int = SALT_GROUPS) -> DataFrame:
-    """Drop repeats of a report that arrive within ``delay`` of each other.
-
-    Two steps, so that a key with very many copies is not one task's work: copies are dropped
-    per (key, group) first, then per key among the few rows left. Groups need not agree
-    between batches, since the second step alone decides; the seed makes a retried task
-    draw the same ones.
-    """
-    return (
-        reports.withColumn("_group", F.floor(F.rand(SEED) * salt_groups))
-        .withWatermark("ingest_ts", delay)
-        .dropDuplicatesWithinWatermark([*REPORT_KEY, "_group"])
-        .dropDuplicatesWithinWatermark(list(REPORT_KEY))
-        .drop("_group")
-    )
+from skytracks.functions.times import HOUR, HourRange
+from skytracks.plans.silver import load_hours
+from skytracks.schemas import BRONZE_TABLE, INGEST_HOUR_KEYS
 
 
-def by_hour(reports: DataFrame, files_per_hour: int = FILES_PER_HOUR) -> DataFrame:
-    """Bring the rows of an hour to a few tasks instead of a file from every state partition."""
-    spread = F.pmod(F.xxhash64(*REPORT_KEY), F.lit(files_per_hour))
-    return reports.repartition(*SILVER_HOUR_KEYS, spread)
+def touched_hours(rows: DataFrame) -> list[datetime]:
+    """The ingest hours that ``rows`` have, in UTC; their number is bounded by the calendar."""
+    keys = rows.select(*INGEST_HOUR_KEYS).dropna().distinct().collect()
+    return [datetime(*map(int, key), tzinfo=timezone.utc) for key in keys]
 
 
 def stream_silver(
@@ -43,31 +23,22 @@ def stream_silver(
     bronze_path: str,
     silver_path: str,
     checkpoint: str,
-    delay: str = "2 hours",
+    overlap: timedelta = HOUR,
     **source_options,
 ) -> StreamingQuery:
-    """Clean and append bronze files not seen before, then stop.
+    """Bring the hours of bronze files not seen before into silver, then stop.
 
-    Reports without a readable ``ingest_ts`` are left out, and reports more than ``delay``
-    behind the newest one of an earlier batch are too late for the stream: load those hours
-    with ``plans.silver.load_silver``. Which copy of a report survives within one batch is
-    not defined. The target must be written by this stream alone, since the file sink keeps
-    its own list of committed files there. ``maxBytesPerTrigger`` bounds a batch.
+    The stream only says which hours have changed; each batch replaces them, and ``overlap`` past
+    them, by the batch load of those hours. So the order of files, the size of batches and a
+    repeated batch do not matter, and batch loads may write the same table. Reports without a
+    readable ``ingest_ts`` are left out. ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bounds a batch.
     """
-    bronze = (
-        spark.readStream.schema(BRONZE_TABLE)
-        .options(**source_options)
-        .json(bronze_path)
-        .select("*", F.col("_metadata.file_path").alias("source_file"))
-    )
-    reports = valid_reports(typed_times(bronze)).filter(F.col("ingest_ts").isNotNull())
-    return (
-        by_hour(with_silver_hour(first_seen(reports, delay)))
-        .writeStream.format("parquet")
-        .partitionBy(*SILVER_HOUR_KEYS)
-        .option("path", silver_path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    files = spark.readStream.schema(BRONZE_TABLE).options(**source_options).json(bronze_path)
+
+    def load(batch: DataFrame, _: int) -> None:
+        # The caller's session, so that its settings hold for the load.
+        for hours in HourRange.around(touched_hours(batch), overlap):
+            load_hours(spark, bronze_path, silver_path, hours, overlap)
+
+    stream = files.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    return stream.trigger(availableNow=True).start()
