@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 from operator import and_
 
@@ -31,6 +32,8 @@ from skytracks.streaming.silver import stream_silver
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = "2024-01-15T12:00:00"
+# Longer than the time between any two reports of the table.
+EVER = timedelta(days=3660)
 NARROW_BOX = BoundingBox(43.0, 48.0, 0.0, 6.0)
 QUERIES: dict[str, Query] = {}
 
@@ -184,9 +187,9 @@ def stream_silver_keys(spark, sf_dir):
 
 @_registered
 def stream_silver_rows(spark, sf_dir):
-    """Silver through the file stream, in several batches."""
+    """Silver through the file stream, in several batches, with repeats found across all of the table."""
     bronze, path = _bronze_table(spark, sf_dir), fresh_dir(spark, "silver")
-    stream_silver(spark, bronze, path, fresh_dir(spark, "stream"), maxFilesPerTrigger=400).awaitTermination()
+    stream_silver(spark, bronze, path, fresh_dir(spark, "stream"), EVER, maxFilesPerTrigger=400).awaitTermination()
     return read_silver(spark, path).drop("source_file")
 
 

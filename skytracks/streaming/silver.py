@@ -29,8 +29,9 @@ def stream_silver(
     """Bring the hours of bronze files not seen before into silver, then stop.
 
     The stream only says which hours have changed; each batch replaces them, and ``overlap`` past
-    them, by the batch load of those hours. So the order of files, the size of batches and a
-    repeated batch do not matter, and batch loads may write the same table. Reports without a
+    them, by the batch load of those hours, so batch loads may write the same table. Repeats within
+    ``overlap`` are found whatever the order of files and the size of batches; of repeats further
+    apart, null position times among them, more may stay the smaller the batches are. Reports without a
     readable ``ingest_ts`` are left out. ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bounds a batch.
     """
     files = spark.readStream.schema(BRONZE_TABLE).options(**source_options).json(bronze_path)
