@@ -74,6 +74,6 @@ def rmse_by_target(scored: DataFrame, targets: Mapping[str, str] = TARGETS) -> D
     return wide.select(F.explode(F.array(*pairs)).alias("pair"), "rows").select("pair.*", "rows")
 
 
-def predictions(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Score report rows and keep the published columns."""
-    return model.transform(rows).select(*PREDICTION_COLUMNS)
+def predictions(model: PipelineModel, rows: DataFrame, *more: str) -> DataFrame:
+    """Score report rows and keep the published columns, and ``more`` of the rows' own."""
+    return model.transform(rows).select(*PREDICTION_COLUMNS, *more)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skytracks.operators.neighbours import with_neighbours
@@ -119,3 +119,45 @@ def scoring_rows(reports: DataFrame, features: Sequence[str] = FEATURES_14) -> D
 def motion_inputs(silver: DataFrame) -> DataFrame:
     """Only the columns motion needs, so the scan, shuffle and sort carry nothing else."""
     return silver.select(*MOTION_INPUTS)
+
+
+def marked_inputs(silver: DataFrame, asked: Column) -> DataFrame:
+    """The columns motion needs, and whether a report is one of those asked for."""
+    return silver.select(*MOTION_INPUTS, asked.alias("_asked"))
+
+
+def asked_spans(marked: DataFrame) -> DataFrame:
+    """First and last place, in the order of its history, of each aircraft's reports asked for."""
+    place = F.struct("time_position", "ingest_ts")
+    asked = marked.filter("_asked")
+    return asked.groupBy("icao24").agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
+
+
+def needed_history(marked: DataFrame, spans: DataFrame, horizon: int | None = None) -> DataFrame:
+    """Of the aircraft in ``spans``: all reports within the span, the one before it, and ``horizon`` after it.
+
+    However long ago the one before was, it is found: only one row per aircraft leaves a map task for it.
+    """
+    place = F.struct("time_position", "ingest_ts")
+    order = [name for name in marked.columns if name != "icao24"]
+    joined = marked.join(spans, "icao24")
+    within = joined.filter(place.between(F.col("_first"), F.col("_last"))).select(*marked.columns)
+    before = joined.filter(place < F.col("_first")).groupBy("icao24").agg(F.max(F.struct(*order)).alias("row"))
+    needed = within.unionByName(before.select("icao24", "row.*"))
+    if horizon:
+        rank = F.row_number().over(Window.partitionBy("icao24").orderBy(*order))
+        after = joined.filter(place > F.col("_last")).withColumn("_rank", rank).filter(F.col("_rank") <= horizon)
+        needed = needed.unionByName(after.select(*marked.columns))
+    return needed
+
+
+def asked_motion(
+    marked: DataFrame,
+    spans: DataFrame,
+    previous: Sequence[str] = tuple(PREVIOUS),
+    horizon: int | None = None,
+    slice_by: str | None = SLICE,
+) -> DataFrame:
+    """``with_motion`` of the reports asked for, as the whole history gives it."""
+    moving = with_motion(needed_history(marked, spans, horizon), previous, horizon, slice_by)
+    return moving.filter("_asked").drop("_asked")

@@ -132,6 +132,7 @@ _MEANS = f"""{_TRAINING}, means AS (
   SELECT {', '.join(f'avg({label}) AS mean_{name}' for name, label in TARGETS.items())} FROM flagged WHERE is_train
 )"""
 _SCORABLE = " AND ".join(f"{name} IS NOT NULL" for name in FEATURES_14)
+_LOADED_HOURS = "ingest_ts >= TIMESTAMP '2024-01-15 00:00:00' AND ingest_ts < TIMESTAMP '2024-01-15 14:00:00'"
 _LOADED = f"""{_BRONZE}, overlapping AS (
   SELECT * FROM valid
   WHERE ingest_ts >= TIMESTAMP '2024-01-14 23:00:00' AND ingest_ts < TIMESTAMP '2024-01-15 14:00:00'
@@ -168,6 +169,19 @@ ORACLES: dict[str, str] = {
     "forest_mean_predictions": f"""{_MEANS} SELECT icao24, {_POSITION_TIME}, lat, lon, baro_altitude,
         {', '.join(f'round(mean_{name}, 6) AS predicted_{name}' for name in TARGETS)}
         FROM motion, means WHERE {_SCORABLE}""",
+    "forest_mean_days": f"""{_MEANS} SELECT icao24, {_POSITION_TIME}, lat, lon, baro_altitude,
+        {', '.join(f'round(mean_{name}, 6) AS predicted_{name}' for name in TARGETS)},
+        CAST(CAST(ingest_ts AS DATE) AS VARCHAR) AS ingest_date FROM motion, means WHERE {_SCORABLE}""",
+    "scoring_incremental": f"""{_MOTION} SELECT icao24, {_POSITION_TIME}, {', '.join(FEATURES_14)}
+        FROM motion WHERE {_SCORABLE} AND {_LOADED_HOURS}""",
+    "training_incremental": f"""{_TRAINING} SELECT icao24, {_POSITION_TIME},
+        {', '.join((*FEATURES_14, *TARGETS.values()))} FROM training WHERE {_LOADED_HOURS}""",
+    "feature_vector_complete": f"{_MOTION} SELECT icao24, {_POSITION_TIME}, {_slots(FEATURES_14)} FROM motion "
+                               f"WHERE {_SCORABLE}",
+    "bronze_lineage": f"""{_BRONZE} SELECT strftime(CAST(ingest_ts AS TIMESTAMP),
+        'ingest_year=%Y/ingest_month=%m/ingest_day=%d/ingest_hour=%H') AS directory, count(*) AS rows
+        FROM bronze GROUP BY ALL""",
+    "snapshot_files": f"{_BRONZE} {_WITH_INGEST_HOUR}",
     "predictions_in_range": f"{_MOTION} SELECT icao24, {_POSITION_TIME}, TRUE AS in_range FROM motion WHERE {_SCORABLE}",
     "stream_silver_keys": f"{_BRONZE} SELECT DISTINCT icao24, {_POSITION_TIME} FROM valid",
     "motion_features": f"""{_MOTION}

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from skytracks.functions.times import HOUR, as_utc
 from skytracks.plans.gold import load_gold
 from skytracks.plans.predict import predict
-from skytracks.plans.silver import LoadMode, load_silver
+from skytracks.plans.silver import LoadMode, load_silver, written_hours
 from skytracks.plans.train import train
 from skytracks.schemas import HORIZON_ROWS, LOOKBACK, BoundingBox
 from skytracks.session import pin_utc
@@ -70,6 +70,8 @@ def run(
 ) -> dict[str, str | None]:
     """Ingest, silver, optional training and scoring, gold. Returns where each stage wrote.
 
+    An incremental run scores the days that silver may have changed, also with a model it has just trained.
+
     Landed documents are taken once, also by repeated runs. The errors of a training, a row per
     target, are kept at ``Lake.errors``. A stage without input writes nothing and gives None.
     """
@@ -86,7 +88,8 @@ def run(
             errors.write.mode("overwrite").parquet(lake.errors)
             done["models"] = lake.models
     if with_predictions:
-        done["predictions"] = predict(spark, lake.silver, lake.models, lake.predictions)
+        changed = None if mode == "full" else written_hours(moment, lookback, overlap)
+        done["predictions"] = predict(spark, lake.silver, lake.models, lake.predictions, changed)
     done["gold"] = load_gold(spark, lake.silver, lake.gold, mode, moment, lookback, overlap, table)
     return done
 

@@ -6,17 +6,25 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from skytracks.functions.times import HourRange
+from skytracks.operators.clean import with_ingest_date
 from skytracks.operators.forest import feature_list, predictions
-from skytracks.operators.motion import SLICE, motion_inputs, previous_for, scoring_rows, with_motion
+from skytracks.operators.motion import SLICE, scoring_rows
+from skytracks.plans.histories import moving_reports
+from skytracks.schemas import GOLD_DAY_KEY, SILVER_HOUR_KEYS
 from skytracks.sources.lake import read_if_present, read_silver, write_predictions
 from skytracks.sources.models import load_model
 
 
-def predicted_positions(model: PipelineModel, silver: DataFrame, slice_by: str | None = SLICE) -> DataFrame:
-    """Predictions for every report with the features the model was fitted on."""
+def predicted_positions(
+    model: PipelineModel, silver: DataFrame, slice_by: str | None = SLICE, hours: HourRange | None = None
+) -> DataFrame:
+    """Predictions for every report (of ``hours``) with the features the model was fitted on."""
+    return predictions(model, _scorable(model, silver, slice_by, hours))
+
+
+def _scorable(model: PipelineModel, silver: DataFrame, slice_by: str | None, hours: HourRange | None) -> DataFrame:
     features = feature_list(model)
-    moving = with_motion(motion_inputs(silver), previous_for(features), slice_by=slice_by)
-    return predictions(model, scoring_rows(moving, features))
+    return scoring_rows(moving_reports(silver, features, hours=hours, slice_by=slice_by), features)
 
 
 def predict(
@@ -26,10 +34,16 @@ def predict(
     predictions_path: str,
     hours: HourRange | None = None,
 ) -> str | None:
-    """Score silver (or the ``hours`` of it) and replace the predictions table; None when there is no silver yet."""
-    silver = read_if_present(lambda: read_silver(spark, silver_path, hours))
-    if silver is None:
+    """Score silver and replace the predictions, or with ``hours`` only those of the days they touch.
+
+    A report's previous one is found wherever it lies. None when there is no silver (of those days) yet.
+    A late report changes the prediction of the report after it once that one's day is scored again.
+    """
+    silver = read_if_present(lambda: read_silver(spark, silver_path))
+    days = None if hours is None else hours.whole_days()
+    if silver is None or (days is not None and silver.filter(days.prunes(SILVER_HOUR_KEYS)).isEmpty()):
         return None
-    scored = predicted_positions(load_model(models_path), silver)
-    write_predictions(scored, predictions_path)
+    model = load_model(models_path)
+    scored = predictions(model, with_ingest_date(_scorable(model, silver, SLICE, days)), GOLD_DAY_KEY)
+    write_predictions(scored, predictions_path, "overwrite" if days is None else "replace")
     return predictions_path

@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skytracks.functions.times import ISO_SECONDS
+from skytracks.functions.times import ISO_SECONDS, as_utc
 from skytracks.operators import clean, motion
 from skytracks.operators.forest import assembler, rmse_by_target
 from skytracks.operators.snapshot import flatten_snapshots, with_ingest_hour
 from skytracks.operators.split import in_train_part
 from skytracks.plans import fixtures, gold, silver
+from skytracks.plans.histories import moving_reports
 from skytracks.plans.ingest import ingest
 from skytracks.plans.pipeline import Lake, run
 from skytracks.plans.predict import predict, predicted_positions
@@ -110,6 +111,15 @@ def snapshot_ingest(spark, sf_dir):
     return read_bronze(spark, bronze).drop("source_file")
 
 
+@_registered
+def snapshot_files(spark, sf_dir):
+    """Documents landed one per file, to bronze files of any place."""
+    landing, bronze = fresh_dir(spark, "landing"), fresh_dir(spark, "bronze")
+    fixtures.snapshot_documents(spark, sf_dir).write.option("maxRecordsPerFile", 1).text(landing)
+    ingest(spark, landing, bronze, box=None)
+    return read_bronze(spark, bronze).drop("source_file")
+
+
 @_registered
 def stream_ingest(spark, sf_dir):
     """The same documents to bronze through the file stream."""
@@ -193,6 +203,15 @@ def stream_silver_rows(spark, sf_dir):
     return read_silver(spark, path).drop("source_file")
 
 
+@_registered
+def bronze_lineage(spark, sf_dir):
+    """Rows per directory that the lineage column of a bronze scan names."""
+    parts = F.regexp_extract("source_file", r"(ingest_year=\d+/ingest_month=\d+/ingest_day=\d+/ingest_hour=\d+)/", 1)
+    return read_bronze(spark, _bronze_table(spark, sf_dir)).groupBy(parts.alias("directory")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+
+
 # --- motion and training rows -------------------------------------------------------------
 
 
@@ -250,6 +269,12 @@ def feature_vector(spark, sf_dir):
     return _slots(training_set(_silver(spark, sf_dir)), FEATURES_14)
 
 
+@_registered
+def feature_vector_complete(spark, sf_dir):
+    """Vectors of all silver rows with motion: rows that lack a feature are left out by the assembler."""
+    return _slots(motion.with_motion(motion.motion_inputs(_silver(spark, sf_dir))), FEATURES_14)
+
+
 @_registered
 def feature_vector_short(spark, sf_dir):
     """The assembled vector of eight features, one column per slot."""
@@ -323,6 +348,13 @@ def gold_merged_scan(spark, sf_dir):
     return gold.gold_rows(read_flat(spark, path))
 
 
+def _without_name(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """The rows of an external table whose name is given up."""
+    layout = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(layout).parquet(path)
+
+
 @_registered
 def gold_table(spark, sf_dir):
     """Gold in a catalog table: created, then every other day replaced by itself."""
@@ -330,7 +362,7 @@ def gold_table(spark, sf_dir):
     name = f"gold_{path.rsplit('-', 1)[1]}"
     write_table(rows, name, partition_by=GOLD_DAY_KEY, path=path)
     write_table(rows.filter(F.dayofmonth(GOLD_DAY_KEY) % 2 == 0), name, "replace", partition_by=GOLD_DAY_KEY)
-    return spark.table(name)
+    return _without_name(spark, name, path)
 
 
 @_registered
@@ -341,7 +373,7 @@ def bronze_append_table(spark, sf_dir):
     even = F.dayofmonth(F.try_to_timestamp("ingest_ts")) % 2 == 0
     write_table(rows.filter(even), name, path=path)
     write_table(rows.filter(~even), name)
-    return spark.table(name)
+    return _without_name(spark, name, path)
 
 
 # --- models -------------------------------------------------------------------------------
@@ -380,6 +412,33 @@ def forest_mean_predictions(spark, sf_dir):
     train(spark, path, models, **MEAN_FOREST)
     predict(spark, path, models, scored)
     names = [f"predicted_{name}" for name in TARGETS]
+    return spark.read.parquet(scored).drop(GOLD_DAY_KEY).withColumns({name: F.round(name, 6) for name in names})
+
+
+@_registered
+def scoring_incremental(spark, sf_dir):
+    """Features of the reports of twelve hours; previous reports may lie any time before them."""
+    hours = silver.written_hours(as_utc(AS_OF), 12 * silver.HOUR, silver.HOUR)
+    moving = moving_reports(read_silver(spark, _silver_table(spark, sf_dir)), FEATURES_14, hours=hours)
+    return motion.scoring_rows(moving).select("icao24", "time_position", *FEATURES_14)
+
+
+@_registered
+def training_incremental(spark, sf_dir):
+    """Training rows of twelve hours; previous reports and targets may lie outside them."""
+    hours = silver.written_hours(as_utc(AS_OF), 12 * silver.HOUR, silver.HOUR)
+    rows = training_set(read_silver(spark, _silver_table(spark, sf_dir)), hours=hours)
+    return rows.select("icao24", "time_position", *FEATURES_14, *TARGETS.values())
+
+
+@_registered
+def forest_mean_days(spark, sf_dir):
+    """All predictions by mean forests, and then again those of the days of twelve hours, in place."""
+    path, models, scored = _silver_table(spark, sf_dir), fresh_dir(spark, "models"), fresh_dir(spark, "predictions")
+    train(spark, path, models, **MEAN_FOREST)
+    for hours in (None, silver.written_hours(as_utc(AS_OF), 12 * silver.HOUR, silver.HOUR)):
+        predict(spark, path, models, scored, hours)
+    names = [f"predicted_{name}" for name in TARGETS]
     return spark.read.parquet(scored).withColumns({name: F.round(name, 6) for name in names})
 
 

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from skytracks.functions.times import HourRange
 from skytracks.operators.forest import apply_forests, assembler, fit_forests, rmse_by_target
-from skytracks.operators.motion import SLICE, motion_inputs, previous_for, training_rows, with_motion
+from skytracks.operators.motion import SLICE, training_rows
 from skytracks.operators.split import in_train_part, random_parts
+from skytracks.plans.histories import moving_reports
 from skytracks.schemas import FEATURES_14, HORIZON_ROWS, TARGETS
 from skytracks.session import cut_lineage
 from skytracks.sources.lake import read_silver
@@ -26,10 +27,10 @@ def training_set(
     features: Sequence[str] = FEATURES_14,
     horizon: int = HORIZON_ROWS,
     slice_by: str | None = SLICE,
+    hours: HourRange | None = None,
 ) -> DataFrame:
-    """Report rows with complete features and targets."""
-    moving = with_motion(motion_inputs(silver), previous_for(features), horizon, slice_by)
-    return training_rows(moving, features)
+    """Report rows (of ``hours``) with complete features and targets, which may lie outside the hours."""
+    return training_rows(moving_reports(silver, features, horizon, hours, slice_by), features)
 
 
 # Rows of one part of the training table. Parts follow from the rows alone, so that a model does not depend on the cluster.
@@ -73,8 +74,7 @@ def train(
 
     ``at_once`` forests are fitted side by side, which pays while the rows leave cores idle.
     """
-    silver = read_silver(spark, silver_path, hours)
-    rows = training_set(silver, features, horizon)
+    rows = training_set(read_silver(spark, silver_path), features, horizon, hours=hours)
     model, errors = fit_and_evaluate(rows, features, split, **forest_params)
     save_model(model, models_path)
     return errors

@@ -123,5 +123,5 @@ def write_gold(rows: DataFrame, path: str, mode: WriteMode) -> None:
     write_partitioned(clustered(rows, (GOLD_DAY_KEY,), ("icao24", "time_position")), path, (GOLD_DAY_KEY,), mode)
 
 
-def write_predictions(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").parquet(path)
+def write_predictions(rows: DataFrame, path: str, mode: WriteMode = "overwrite") -> None:
+    write_partitioned(clustered(rows, (GOLD_DAY_KEY,), ("icao24", "time_position")), path, (GOLD_DAY_KEY,), mode)

@@ -113,4 +113,4 @@ def test_train_and_predict_from_files(spark, tmp_path):
     for _ in range(2):
         predict(spark, silver, models, out)
     written = spark.read.parquet(out)
-    assert written.columns == list(PREDICTION_COLUMNS) and written.count() == 873
+    assert written.columns == [*PREDICTION_COLUMNS, "ingest_date"] and written.count() == 873

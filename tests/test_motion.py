@@ -2,14 +2,17 @@ from __future__ import annotations
 
 import random
 import re
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from skytracks.functions.times import HourRange
 from skytracks.operators import motion
-from skytracks.operators.clean import typed_times
+from skytracks.operators.clean import typed_times, with_silver_hour
 from skytracks.operators.neighbours import with_neighbours
+from skytracks.plans.histories import moving_reports
 from skytracks.plans.train import training_set
 from skytracks.schemas import FEATURES_8, FEATURES_14
 
@@ -146,3 +149,25 @@ def test_nan_rows_are_not_used(bronze):
 def test_previous_columns_needed():
     assert motion.previous_for(FEATURES_14) == tuple(motion.PREVIOUS)
     assert set(motion.previous_for(FEATURES_8)) == {"prev_velocity", "prev_heading", "prev_time"}
+
+
+@pytest.mark.parametrize("horizon", [None, 2])
+def test_reports_asked_for_keep_their_neighbours(spark, bronze, horizon):
+    """A gap of months before the hours, a late report, a null position time, and an aircraft new in the hours."""
+    asked = HourRange(*(datetime(2024, 6, 1, hour, tzinfo=timezone.utc) for hour in (10, 12)))
+    rows = [("2024-01-01T00", "2024-01-01T00:00:00", 1.0), ("2024-02-01T00", "2024-02-01T00:00:00", 2.0),
+            ("2024-06-01T10", "2024-06-01T10:00:00", 3.0), ("2024-06-01T11", "2024-06-01T11:00:00", 4.0),
+            ("2024-06-01T13", "2024-06-01T10:30:00", 5.0), ("2024-06-01T14", "2024-06-01T14:00:00", 6.0),
+            ("2024-06-01T15", "2024-06-01T15:00:00", 7.0), ("2024-06-01T16", "2024-06-01T16:00:00", 8.0)]
+    reports = [{"icao24": "old", "ingest_ts": f"{hour}:00:00", "time_position": time, "lat": lat} for hour, time, lat in rows]
+    reports += [{"icao24": "nul", "ingest_ts": f"{hour}:00:00", "time_position": None, "lat": lat} for hour, _, lat in rows]
+    reports += [{"icao24": "new", "ingest_ts": "2024-06-01T10:00:00", "time_position": "2024-06-01T10:00:00"},
+                {"icao24": "out", "ingest_ts": "2024-06-01T14:00:00", "time_position": "2024-06-01T14:00:00"}]
+    silver = with_silver_hour(typed_times(bronze(*reports)))
+    whole = motion.with_motion(motion.motion_inputs(silver), horizon=horizon).filter(asked.contains(F.col("ingest_ts")))
+    found = moving_reports(silver, FEATURES_14, horizon, asked)
+    expected = whole.select(*found.columns)
+    assert expected.count() == 5
+    assert expected.exceptAll(found).isEmpty() and found.exceptAll(expected).isEmpty()
+    assert found.filter("icao24 = 'old' AND lat = 3").first().prev_lat == 2.0
+    assert found.filter("icao24 = 'old' AND lat = 4").first().prev_lat == 5.0
