@@ -377,3 +377,17 @@ def test_words_are_found_as_by_the_pattern():
     ids, places = coder.encode(np.frombuffer(data, np.uint8), offsets)
     got = [ids[x:y].tolist() for x, y in zip(places[:-1], places[1:], strict=True)]
     assert got == [library.encode_ordinary(text) for text in texts]
+
+
+def test_passages_are_verified_at_every_alignment():
+    made = np.random.default_rng(5)
+    for case in range(300):
+        width = 10
+        other = made.integers(0, made.integers(5, 30), 40).astype(np.int32)
+        mine = np.concatenate([made.integers(0, 30, 8), other[12:30], made.integers(0, 30, 8)]).astype(np.int32)
+        mine[made.integers(0, len(mine), 2)] = 99
+        starts = np.arange(len(mine) - width + 1)
+        bags = [Counter(other[t : t + width].tolist()) for t in range(len(other) - width + 1)]
+        most = [max((Counter(mine[s : s + width].tolist()) & bag).total() for bag in bags) for s in starts]
+        expected = [m >= np.ceil(1.6 / 1.8 * width - 1e-9) for m in most]
+        assert passages._verified_starts(mine, other, starts, width, 0.8).tolist() == expected
