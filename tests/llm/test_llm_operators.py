@@ -391,3 +391,38 @@ def test_passages_are_verified_at_every_alignment():
         most = [max((Counter(mine[s : s + width].tolist()) & bag).total() for bag in bags) for s in starts]
         expected = [m >= np.ceil(1.6 / 1.8 * width - 1e-9) for m in most]
         assert passages._verified_starts(mine, other, starts, width, 0.8).tolist() == expected
+
+
+def test_no_passage_is_lost(spark, monkeypatch):
+    """Frequent lines, partial quotes, chains of edits and edited passages against a comparison of all pairs of stretches."""
+    monkeypatch.setattr(passages, "SAMPLE", 1)
+    made = random.Random(11)
+    lines, quotes = [prose(100 + i, 14) for i in range(6)], [prose(200 + i, 64) for i in range(12)]
+    texts = []
+    for i in range(60):
+        words = made.choice(quotes).split(" ")
+        for _ in range(made.randint(0, 2)):
+            words[made.randrange(len(words))] = f"edit{i}x{made.randrange(9)}"
+        begin = made.randint(0, 14)
+        quote = " ".join(words[begin : begin + made.randint(35, 64)])
+        parts = [made.choice(lines), prose(300 + i, made.randint(0, 20)), made.choice(lines), quote, made.choice(lines)]
+        texts.append(" ".join(parts).strip())
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    got = {}
+    for row in passages.near_passages(docs).collect():
+        got.setdefault(row.doc_id, set()).update(range(row.first_word, row.end_word))
+    width = passages.WORDS - 4
+    need = np.ceil(2 * 0.8 / 1.8 * width - 1e-9)
+    tokens = [text.split() for text in texts]
+    shingles = [[tuple(words[i : i + 5]) for i in range(len(words) - 4)] for words in tokens]
+    bags = [[Counter(one[s : s + width]) for s in range(len(one) - width + 1)] for one in shingles]
+    digests = [hashlib.md5(text.encode()).digest() for text in texts]
+    signed = [tuple(int.from_bytes(d[i : i + 8], "big", signed=True) for i in (0, 8)) for d in digests]
+    expected = {}
+    for mine in range(len(texts)):
+        for other in range(len(texts)):
+            if signed[other] < signed[mine]:
+                for s, bag in enumerate(bags[mine]):
+                    if any((bag & there).total() >= need for there in bags[other]):
+                        expected.setdefault(mine, set()).update(range(s, s + passages.WORDS))
+    assert got == expected
