@@ -426,3 +426,15 @@ def test_no_passage_is_lost(spark, monkeypatch):
                     if any((bag & there).total() >= need for there in bags[other]):
                         expected.setdefault(mine, set()).update(range(s, s + passages.WORDS))
     assert got == expected
+
+
+def test_recall_at_the_limit(spark):
+    """Lone stretches of 50 words with one word changed share 41 of 51 shingles: all are found."""
+    rows = []
+    for i in range(150):
+        words = prose(1000 + i, passages.WORDS).split(" ")
+        changed = [*words[:25], f"edit{i}", *words[26:]]
+        rows += [(2 * i, f"{prose(5000 + i, 30)} {' '.join(words)} {prose(6000 + i, 30)}")]
+        rows += [(2 * i + 1, f"{prose(7000 + i, 40)} {' '.join(changed)} {prose(8000 + i, 20)}")]
+    got = passages.near_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {row.doc_id // 2 for row in got if row.doc_id // 2 == row.source_id // 2} == set(range(150))
