@@ -83,3 +83,90 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_re
        not base_failed and n_words - n_removed_words >= 10 and n_words - n_removed_words >= 0.3 * n_words as kept
 from (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from base)
 """
+
+ORACLES["op11_hard_negatives"] = """
+with rows as (
+  select row_number() over () as rid, vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label::bigint end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scores as (
+  select a.rid as anchor, a.vec_id as anchor_id, b.rid, b.vec_id, a.label = b.label as same,
+         coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])), 0)::bigint as score
+  from rows a join rows b on a.vec_id % 50 = 0 and a.rid <> b.rid
+), positives as (
+  select * from scores where same
+  qualify row_number() over (partition by anchor order by score desc, vec_id asc nulls last, rid) <= 5
+), found as (
+  select p.anchor_id, p.vec_id as positive_id, n.vec_id as negative_id, p.score as positive_score, n.score as negative_score,
+         row_number() over (partition by p.anchor, p.rid order by n.score desc, n.vec_id asc nulls last, n.rid) as rank
+  from positives p join scores n on p.anchor = n.anchor and not n.same
+  where 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score
+)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from found where rank <= 3
+"""
+
+ORACLES["op12_lexical_search"] = r"""
+with docs as (
+  select row_number() over () as rid, doc_id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from documents
+), tfs as (
+  select rid, term, count(*) as tf from docs group by rid, term
+), lengths as (
+  select rid, any_value(doc_id) as doc_id, count(*) as n from docs group by rid
+), totals as (
+  select count(*) as big_n, sum(n)::bigint as big_l from lengths
+), dfs as (
+  select term, count(*) as df from tfs group by term
+), items as (
+  select distinct iid, item_id, term from (
+    select row_number() over () as iid, item_id,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark)
+), weights as (
+  select iid, item_id, term, floor(1000 * ln((2 * big_n + 2) / (2 * df + 1)))::bigint as w from items join dfs using (term), totals
+), scores as (
+  select iid, any_value(item_id) as item_id, rid, any_value(doc_id) as doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + ((50 * n * big_n) // big_l)))))::bigint as score
+  from weights join tfs using (term) join lengths using (rid), totals
+  group by iid, rid
+), ranked as (
+  select *, row_number() over (partition by iid order by score desc, doc_id asc nulls last) as rank from scores where score > 0
+)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 50
+"""
+
+ORACLES["op13_shingle_join"] = r"""
+with recursive rows as (
+  select row_number() over () as rid, doc_id,
+         list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[\x20\x09-\x0D]+'), lambda w: w <> '') as words
+  from documents
+), held as (
+  select rid, doc_id, case when len(words) = 0 then [] when len(words) < 4 then [array_to_string(words, ' ')]
+                      else list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) end as shingles
+  from rows
+), sets as (
+  select shingles, min(rid) as sid, len(shingles) as n from (select rid, list_sort(shingles) as shingles from held) group by shingles
+), postings as (
+  select sid, n, unnest(shingles) as shingle from sets
+), links as (
+  select a.sid as a, b.sid as b
+  from postings a join postings b on a.shingle = b.shingle and a.sid <> b.sid and 85 * a.n <= 100 * b.n and 85 * b.n <= 100 * a.n
+  group by a.sid, b.sid, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reached as (
+  select sid as a, sid as b from sets where n > 0
+  union
+  select r.a, l.b from reached r join links l on r.b = l.a
+), members as (
+  select h.rid, h.doc_id, len(h.shingles) as n, s.sid from held h join sets s on list_sort(h.shingles) = s.shingles
+), least as (
+  select r.a as sid, min(m.doc_id) as component_id from reached r join members m on r.b = m.sid group by r.a
+)
+select m.doc_id, m.n::bigint as n_shingles, case when m.n = 0 then m.doc_id else l.component_id end as component_id
+from members m left join least l on m.sid = l.sid
+"""

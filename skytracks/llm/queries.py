@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytracks.llm import arrow_output, chat, exact_dedup, html_text, near_dedup, packing, passages, quality, repeats, tokenise
+from skytracks.llm import (
+    arrow_output,
+    chat,
+    exact_dedup,
+    hard_negatives,
+    html_text,
+    lexical_search,
+    near_dedup,
+    packing,
+    passages,
+    quality,
+    repeats,
+    shingle_join,
+    tokenise,
+)
 from skytracks.llm.tables import table
 
 # Folder of public vocabulary files, as installed; operators take paths as parameters.
@@ -91,3 +105,26 @@ def op9_exact_dedup(spark, sf_dir):
 def op10_bpe_round_trip(spark, sf_dir):
     """Every document encoded, and decoded again."""
     return tokenise.round_trip(table(spark, sf_dir, "documents"), RANKS)
+
+
+@_registered
+def op11_hard_negatives(spark, sf_dir):
+    """Hard negatives of the anchors among ``embeddings``, with a seventh of the labels moved on by one."""
+    rows = table(spark, sf_dir, "embeddings")
+    finite = "label is not null and embedding is not null and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))"
+    moved = F.when(F.expr("vec_id % 7 = 0"), (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")))
+    chosen = rows.filter(finite).select("vec_id", moved.alias("label"), whole.alias("vector"), F.expr("vec_id % 50 = 0").alias("anchor"))
+    return hard_negatives.hard_negatives(chosen)
+
+
+@_registered
+def op12_lexical_search(spark, sf_dir):
+    """The 50 best documents for every item of ``benchmark``."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_registered
+def op13_shingle_join(spark, sf_dir):
+    """The component of every document under the Jaccard join of word shingles."""
+    return shingle_join.shingle_components(table(spark, sf_dir, "documents"))
