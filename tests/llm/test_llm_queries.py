@@ -12,7 +12,7 @@ from conftest import SMALL
 @pytest.mark.parametrize("name", sorted(driver.CORPUS_ORACLES))
 def test_against_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings", "benchmark"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     found = driver.CORPUS_QUERIES[name](spark, SMALL)
     columns = sorted(found.columns)
@@ -25,4 +25,11 @@ def test_against_sql(spark, name):
 
 
 def test_sql_of_the_corpus():
-    assert set(driver.CORPUS_ORACLES) == {"op6_quality_rules", "op8_chat_formatting", "op9_exact_dedup"}
+    assert set(driver.CORPUS_ORACLES) == {
+        "op6_quality_rules",
+        "op8_chat_formatting",
+        "op9_exact_dedup",
+        "op11_hard_negatives",
+        "op12_lexical_search",
+        "op13_shingle_join",
+    }
