@@ -86,6 +86,12 @@ def with_future(reports: DataFrame, horizon: int = HORIZON_ROWS, slice_by: str |
     return with_neighbours(reports, "icao24", order, slices, ahead=FUTURE, steps=horizon)
 
 
+def with_neighbour_times(reports: DataFrame, slice_by: str | None = SLICE) -> DataFrame:
+    """Add ``_next_ingest``, when the report after each one was ingested."""
+    order, slices = _history(reports, slice_by)
+    return with_neighbours(reports, "icao24", order, slices, ahead={"_next_ingest": "ingest_ts"})
+
+
 def with_rates(reports: DataFrame) -> DataFrame:
     """Add ``time_diff_sec``, ``accel`` and ``turn_rate``, and ``altitude_change`` where ``prev_alt`` exists.
 

@@ -174,6 +174,8 @@ ORACLES: dict[str, str] = {
         CAST(CAST(ingest_ts AS DATE) AS VARCHAR) AS ingest_date FROM motion, means WHERE {_SCORABLE}""",
     "scoring_incremental": f"""{_MOTION} SELECT icao24, {_POSITION_TIME}, {', '.join(FEATURES_14)}
         FROM motion WHERE {_SCORABLE} AND {_LOADED_HOURS}""",
+    "scoring_from_state": f"""{_MOTION} SELECT icao24, {_POSITION_TIME}, {', '.join(FEATURES_14)}
+        FROM motion WHERE {_SCORABLE} AND {_LOADED_HOURS}""",
     "training_incremental": f"""{_TRAINING} SELECT icao24, {_POSITION_TIME},
         {', '.join((*FEATURES_14, *TARGETS.values()))} FROM training WHERE {_LOADED_HOURS}""",
     "feature_vector_complete": f"{_MOTION} SELECT icao24, {_POSITION_TIME}, {_slots(FEATURES_14)} FROM motion "

@@ -11,6 +11,7 @@ from skytracks.functions.times import HOUR, as_utc
 from skytracks.plans.gold import load_gold
 from skytracks.plans.predict import predict
 from skytracks.plans.silver import LoadMode, load_silver, written_hours
+from skytracks.plans.state import note_changed
 from skytracks.plans.train import train
 from skytracks.schemas import HORIZON_ROWS, LOOKBACK, BoundingBox
 from skytracks.session import pin_utc
@@ -47,6 +48,10 @@ class Lake:
     def models(self) -> str:
         return self.path("models")
 
+    @property
+    def state(self) -> str:
+        return self.path("state/last_reports")
+
     @property
     def errors(self) -> str:
         return self.path("models/position_errors")
@@ -70,7 +75,8 @@ def run(
 ) -> dict[str, str | None]:
     """Ingest, silver, optional training and scoring, gold. Returns where each stage wrote.
 
-    An incremental run scores the days that silver may have changed, also with a model it has just trained.
+    An incremental run scores the days that silver may have changed, also with a model it has just trained. It reads these
+    days and the state of last reports kept at ``Lake.state``.
 
     Landed documents are taken once, also by repeated runs. The errors of a training, a row per
     target, are kept at ``Lake.errors``. A stage without input writes nothing and gives None.
@@ -81,6 +87,9 @@ def run(
     if landing_path is not None:
         done["bronze"] = _ingest_new(spark, landing_path, lake, box, one_per_line, on_malformed)
     done["silver"] = load_silver(spark, lake.bronze, lake.silver, mode, moment, lookback, overlap)
+    changed = None if mode == "full" else written_hours(moment, lookback, overlap)
+    if done["silver"] is not None:
+        note_changed(spark, lake.state, changed)
     if with_training:
         done["models"] = None
         if read_if_present(lambda: read_silver(spark, lake.silver)) is not None:
@@ -88,8 +97,7 @@ def run(
             errors.write.mode("overwrite").parquet(lake.errors)
             done["models"] = lake.models
     if with_predictions:
-        changed = None if mode == "full" else written_hours(moment, lookback, overlap)
-        done["predictions"] = predict(spark, lake.silver, lake.models, lake.predictions, changed)
+        done["predictions"] = predict(spark, lake.silver, lake.models, lake.predictions, changed, lake.state)
     done["gold"] = load_gold(spark, lake.silver, lake.gold, mode, moment, lookback, overlap, table)
     return done
 

@@ -10,8 +10,9 @@ from skytracks.operators.clean import with_ingest_date
 from skytracks.operators.forest import feature_list, predictions
 from skytracks.operators.motion import SLICE, scoring_rows
 from skytracks.plans.histories import moving_reports
-from skytracks.schemas import GOLD_DAY_KEY, SILVER_HOUR_KEYS
-from skytracks.sources.lake import read_if_present, read_silver, write_predictions
+from skytracks.plans.state import DayMotion
+from skytracks.schemas import GOLD_DAY_KEY
+from skytracks.sources.lake import WriteMode, read_if_present, read_silver, write_predictions
 from skytracks.sources.models import load_model
 
 
@@ -33,17 +34,32 @@ def predict(
     models_path: str,
     predictions_path: str,
     hours: HourRange | None = None,
+    state_path: str | None = None,
 ) -> str | None:
     """Score silver and replace the predictions, or with ``hours`` only those of the days they touch.
 
-    A report's previous one is found wherever it lies. None when there is no silver (of those days) yet.
-    A late report changes the prediction of the report after it once that one's day is scored again.
+    None when there is no silver (of those days) yet. Without ``state_path`` a report's previous one is looked for in all of
+    silver. With it the days are read alone, and with the state of last reports kept there (``plans.state``); earlier
+    days where a report of ``hours`` has come in before another are scored again.
     """
-    silver = read_if_present(lambda: read_silver(spark, silver_path))
     days = None if hours is None else hours.whole_days()
-    if silver is None or (days is not None and silver.filter(days.prunes(SILVER_HOUR_KEYS)).isEmpty()):
+    silver = read_if_present(lambda: read_silver(spark, silver_path, days))
+    if silver is None or (days is not None and silver.isEmpty()):
         return None
     model = load_model(models_path)
-    scored = predictions(model, with_ingest_date(_scorable(model, silver, SLICE, days)), GOLD_DAY_KEY)
-    write_predictions(scored, predictions_path, "overwrite" if days is None else "replace")
+    features = feature_list(model)
+
+    def write(rows: DataFrame, mode: WriteMode) -> None:
+        write_predictions(predictions(model, with_ingest_date(rows), GOLD_DAY_KEY), predictions_path, mode)
+
+    if days is None:
+        write(_scorable(model, silver, SLICE, None), "overwrite")
+        return predictions_path
+    again = [days]
+    if state_path is not None:
+        found = DayMotion(spark, silver_path, state_path, days)
+        write(scoring_rows(found.motion(features), features), "replace")
+        again = found.repaired_days(hours)
+    for day in again:
+        write(_scorable(model, read_silver(spark, silver_path), SLICE, day), "replace")
     return predictions_path

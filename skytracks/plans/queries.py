@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skytracks.functions.times import ISO_SECONDS, as_utc
+from skytracks.functions.times import DAY, ISO_SECONDS, as_utc
 from skytracks.operators import clean, motion
 from skytracks.operators.forest import assembler, rmse_by_target
 from skytracks.operators.snapshot import flatten_snapshots, with_ingest_hour
@@ -22,6 +22,7 @@ from skytracks.plans.histories import moving_reports
 from skytracks.plans.ingest import ingest
 from skytracks.plans.pipeline import Lake, run
 from skytracks.plans.predict import predict, predicted_positions
+from skytracks.plans.state import DayMotion, state_at
 from skytracks.plans.train import fit_and_evaluate, train, training_set
 from skytracks.schemas import BRONZE, FEATURES_8, FEATURES_14, GOLD_DAY_KEY, SILVER_HOUR_KEYS, TARGETS, BoundingBox
 from skytracks.session import fresh_dir, pin_utc
@@ -423,6 +424,18 @@ def scoring_incremental(spark, sf_dir):
     return motion.scoring_rows(moving).select("icao24", "time_position", *FEATURES_14)
 
 
+@_registered
+def scoring_from_state(spark, sf_dir):
+    """Features of the reports of twelve hours, from the day's silver and the state of last reports before it."""
+    hours = silver.written_hours(as_utc(AS_OF), 12 * silver.HOUR, silver.HOUR)
+    path, kept = _silver_table(spark, sf_dir), fresh_dir(spark, "state")
+    # A state of an earlier day, from which the asked one is moved on.
+    state_at(spark, path, kept, hours.start - 5 * DAY)
+    moving = DayMotion(spark, path, kept, hours).motion(FEATURES_14)
+    scored = motion.scoring_rows(moving).filter(hours.contains(F.col("ingest_ts")))
+    return scored.select("icao24", "time_position", *FEATURES_14)
+
+
 @_registered
 def training_incremental(spark, sf_dir):
     """Training rows of twelve hours; previous reports and targets may lie outside them."""

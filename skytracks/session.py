@@ -58,7 +58,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark).rstrip('/')}/skytracks/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark).rstrip('/')}/skytracks/{fresh_name(name)}"
+
+
+def fresh_name(name: str) -> str:
+    return f"{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
