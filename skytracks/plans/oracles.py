@@ -142,6 +142,22 @@ _LOADED = f"""{_BRONZE}, overlapping AS (
 )"""
 
 
+# Every seventh report once more thirty hours later, and an hour that bronze has lost.
+_COPIED = _BRONZE.replace("), bronze AS (", """  UNION ALL
+  SELECT event_id, user_id, value, tp, snap + INTERVAL 30 HOUR FROM twice WHERE event_id % 7 = 0
+), bronze AS (""").replace("WITH reported AS (", """WITH twice AS (
+  SELECT event_id, user_id, value, date_trunc('second', ts) AS tp, date_trunc('hour', ts) + INTERVAL 1 HOUR AS snap FROM events
+  UNION ALL
+  SELECT event_id, user_id, value, date_trunc('second', ts), date_trunc('hour', ts) + INTERVAL 2 HOUR
+  FROM events WHERE event_id % 10 = 0
+), reported AS (""")
+_EMPTIED = f"""{_COPIED}, left_over AS (
+  SELECT * FROM valid WHERE date_trunc('hour', ingest_ts) <> TIMESTAMP '2024-01-15 12:00:00'
+), silver AS (
+  SELECT *, {_SILVER_HOUR} FROM left_over QUALIFY {_FIRST}
+)"""
+
+
 ORACLES: dict[str, str] = {
     "bronze_scan": f"{_BRONZE} SELECT * FROM bronze",
     "bronze_roundtrip": f"{_BRONZE} {_WITH_INGEST_HOUR}",
@@ -205,6 +221,9 @@ ORACLES: dict[str, str] = {
     "gold_states": f"{_SILVER} SELECT {_GOLD} FROM silver",
     "gold_recent": f"{_SILVER} SELECT {_GOLD} FROM silver WHERE {_RECENT}",
     "gold_roundtrip": f"{_SILVER} SELECT {_GOLD}, {_INGEST_HOUR} FROM silver",
+    "silver_published": f"{_EMPTIED} {_SILVER_WITH_INGEST}",
+    "gold_published": f"{_EMPTIED} SELECT {_GOLD}, {_INGEST_HOUR} FROM silver",
+    "gold_connector": f"{_SILVER} SELECT {_GOLD}, {_INGEST_HOUR} FROM silver",
     "gold_merged_scan": f"{_SILVER} SELECT {_GOLD} FROM silver",
     "gold_table": f"{_SILVER} SELECT {_GOLD} FROM silver",
     "bronze_append_table": f"{_BRONZE} SELECT * FROM bronze",

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skytracks.functions.times import DAY, ISO_SECONDS, as_utc
+from skytracks.functions.times import DAY, HOUR, ISO_SECONDS, HourRange, as_utc
 from skytracks.operators import clean, motion
 from skytracks.operators.forest import assembler, rmse_by_target
 from skytracks.operators.snapshot import flatten_snapshots, with_ingest_hour
@@ -24,9 +24,10 @@ from skytracks.plans.pipeline import Lake, run
 from skytracks.plans.predict import predict, predicted_positions
 from skytracks.plans.state import DayMotion, state_at
 from skytracks.plans.train import fit_and_evaluate, train, training_set
-from skytracks.schemas import BRONZE, FEATURES_8, FEATURES_14, GOLD_DAY_KEY, SILVER_HOUR_KEYS, TARGETS, BoundingBox
+from skytracks.schemas import BRONZE, FEATURES_8, FEATURES_14, GOLD_DAY_KEY, GOLD_TABLE, SILVER_HOUR_KEYS, TARGETS, BoundingBox
 from skytracks.session import fresh_dir, pin_utc
-from skytracks.sources.lake import read_bronze, read_flat, read_silver, write_bronze, write_silver
+from skytracks.sources.lake import read_bronze, read_flat, read_gold, read_silver, write_bronze, write_silver
+from skytracks.sources.staged import read_loads
 from skytracks.sources.tables import write_table
 from skytracks.streaming.bronze import stream_bronze
 from skytracks.streaming.silver import stream_silver
@@ -341,6 +342,55 @@ def whole_run(spark, sf_dir):
     return spark.read.parquet(Lake(root).gold).drop("source_file")
 
 
+# An hour that is emptied, and by how much copies come after their report.
+EMPTIED = as_utc("2024-01-15T12:00:00")
+COPY_LATER = 30 * HOUR
+
+
+def _late_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze reports, every seventh of them reported once more thirty hours after its snapshot."""
+    rows = fixtures.bronze_reports(spark, sf_dir, "event_id")
+    later = F.date_format(F.try_to_timestamp("ingest_ts") + F.lit(COPY_LATER), ISO_SECONDS)
+    return rows.unionByName(rows.filter("event_id % 7 = 0").withColumn("ingest_ts", later)).drop("event_id")
+
+
+def _published_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """Silver and gold published from ten-day loads out of order, then an hour that bronze has lost loaded again."""
+    lake, rows = Lake(fresh_dir(spark, "lake")), with_ingest_hour(_late_copies(spark, sf_dir))
+    write_bronze(rows, lake.bronze)
+    starts = [as_utc("2024-01-01") + 10 * DAY * step for step in (1, 0, 3, 2)]
+    loads = [HourRange(start, start + 10 * DAY) for start in starts]
+    for hours in loads:
+        silver.load_silver(spark, lake.bronze, lake.silver, as_of=hours.end - HOUR, lookback=10 * DAY - HOUR, overlap=0 * HOUR, published=True)
+    gold.load_gold(spark, lake.silver, lake.gold)
+    left = fresh_dir(spark, "bronze")
+    write_bronze(rows.filter(F.date_trunc("hour", F.try_to_timestamp("ingest_ts")) != F.lit(EMPTIED)), left)
+    silver.load_silver(spark, left, lake.silver, as_of=EMPTIED, lookback=0 * HOUR, overlap=0 * HOUR)
+    gold.load_gold(spark, lake.silver, lake.gold)
+    return lake
+
+
+@_registered
+def silver_published(spark, sf_dir):
+    """Loads out of order with copies thirty hours apart and an hour that becomes empty: what a full load gives."""
+    return read_silver(spark, _published_lake(spark, sf_dir).silver).drop("source_file")
+
+
+@_registered
+def gold_published(spark, sf_dir):
+    """Gold of the same loads, which follows what silver's loads have changed."""
+    return read_gold(spark, _published_lake(spark, sf_dir).gold).drop("source_file")
+
+
+@_registered
+def gold_connector(spark, sf_dir):
+    """Gold through a connector by ``load_gold``, run twice: the second load appends nothing."""
+    path, published, sink = _silver_table(spark, sf_dir), fresh_dir(spark, "gold"), fresh_dir(spark, "sink")
+    for _ in range(2):
+        gold.load_gold(spark, path, published, "full", connector="staged_loads", connector_options={"path": sink})
+    return read_loads(spark, sink, GOLD_TABLE).drop("source_file")
+
+
 @_registered
 def gold_merged_scan(spark, sf_dir):
     """Recursive scan of silver with merged schema: the directory keys are gone."""

@@ -5,12 +5,15 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 from typing import Literal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skytracks.functions.times import HOUR, HourRange, as_utc
+from skytracks.functions.times import HOUR, HourRange, as_utc, since_hour
 from skytracks.operators.clean import first_reports, recent, typed_times, valid_reports, with_silver_hour
-from skytracks.schemas import LOOKBACK
+from skytracks.schemas import INGEST_HOUR_KEYS, LOOKBACK, REPORT_KEY, SILVER_HOUR_KEYS, SILVER_TABLE
+from skytracks.session import cut_lineage
 from skytracks.sources.lake import read_bronze, read_if_present, write_silver
+from skytracks.sources.published import last_load, of_position_days, place_name, publish, read_published
 
 LoadMode = Literal["full", "incremental"]
 
@@ -51,9 +54,13 @@ def load_silver(
     as_of: datetime | str | None = None,
     lookback: timedelta = LOOKBACK,
     overlap: timedelta = HOUR,
+    published: bool = False,
 ) -> str | None:
     """Write silver; None when there is no bronze to read.
 
+    A table that is ``published``, or has been before, is read by its manifest (``sources.published``), and its loads find
+    repeats however far apart; see ``replace_hours``. For a plain one:
+
     ``full`` replaces the table. ``incremental`` replaces whole hour directories, so repeating
     a load, or a retried task, changes nothing. It reads ``overlap`` more bronze before the
     hours it writes: a report repeated within that time is kept only where it came first.
@@ -62,17 +69,92 @@ def load_silver(
         bronze = read_if_present(lambda: read_bronze(spark, bronze_path))
         if bronze is None:
             return None
-        write_silver(silver_rows(bronze), silver_path, "overwrite")
+        if published or last_load(spark, silver_path) is not None:
+            _publish_hours(silver_rows(bronze), silver_path, None)
+        else:
+            write_silver(silver_rows(bronze), silver_path, "overwrite")
         return silver_path
-    return load_hours(spark, bronze_path, silver_path, written_hours(as_utc(as_of), lookback, overlap), overlap)
+    hours = written_hours(as_utc(as_of), lookback, overlap)
+    if published and last_load(spark, silver_path) is None:
+        return replace_hours(spark, bronze_path, silver_path, hours)
+    return load_hours(spark, bronze_path, silver_path, hours, overlap)
 
 
 def load_hours(
     spark: SparkSession, bronze_path: str, silver_path: str, hours: HourRange, overlap: timedelta = HOUR
 ) -> str | None:
     """Replace the ``hours`` of silver by what bronze has of them; None when it has nothing near them."""
+    if last_load(spark, silver_path) is not None:
+        return replace_hours(spark, bronze_path, silver_path, hours)
     bronze = read_if_present(lambda: read_bronze(spark, bronze_path, hours.widened(before=overlap)))
     if bronze is None or bronze.isEmpty():
         return None
     write_silver(hour_rows(bronze, hours), silver_path, "replace")
     return silver_path
+
+
+def _publish_hours(rows: DataFrame, silver_path: str, covered: set[datetime] | None) -> None:
+    publish(rows.select(*SILVER_TABLE.names), silver_path, SILVER_HOUR_KEYS, covered, F.date_trunc("hour", "ingest_ts"))
+
+
+def _same_report(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """``left`` with (left_semi) or without (left_anti) the reports that ``right`` has as well; a null time equals a null time."""
+    names = [f"_{name}" for name in REPORT_KEY]
+    keys = right.select(*(F.col(name).alias(other) for name, other in zip(REPORT_KEY, names)))
+    equal = F.col(REPORT_KEY[0]) == F.col(names[0])
+    return left.join(keys, equal & F.col(REPORT_KEY[1]).eqNullSafe(F.col(names[1])), how)
+
+
+def _ingest_hours(rows: DataFrame) -> set[datetime]:
+    """The hours that ``rows`` were ingested in; their number is bounded by the calendar."""
+    names = rows.select(F.date_format("ingest_ts", "yyyy-MM-dd'T'HH").alias("at")).distinct().collect()
+    return {as_utc(f"{row['at']}:00:00") for row in names}
+
+
+def replace_hours(spark: SparkSession, bronze_path: str, silver_path: str, hours: HourRange) -> str | None:
+    """Replace the ``hours`` of a published table so that the whole of it is what a full load gives.
+
+    Silver holds the earliest copy of every report, and the manifest says which of its files hold position times of which days. So
+    the copies of the load's reports are looked up in the files of their days, whenever they came in: a report that is there from
+    before is left out, one that is there from a later hour moves into this load. A report that these hours have lost goes
+    on in the hour of its next copy. All hours that change are published as one load. None when there is no bronze at all.
+    """
+    bronze = read_if_present(lambda: read_bronze(spark, bronze_path, hours))
+    if bronze is None:
+        return None
+    inside = set(_hours_of(hours))
+    in_hours = hours.contains(F.col("ingest_ts"))
+    fresh = cut_lineage(silver_rows(bronze).filter(in_hours))
+    days = [row["day"] for row in fresh.select(F.col("time_position").cast("date").cast("string").alias("day")).distinct().collect()]
+    named = of_position_days(sorted(day for day in days if day is not None), None in days)
+    there = read_published(spark, silver_path, SILVER_TABLE, wanted=named)
+    if there is None:
+        _publish_hours(fresh, silver_path, inside)
+        return silver_path
+    rows = _same_report(fresh, there.filter(F.col("ingest_ts") < F.lit(hours.start)), "left_anti")
+    moved = cut_lineage(_same_report(there.filter(F.col("ingest_ts") >= F.lit(hours.end)).select(*REPORT_KEY, "ingest_ts"), fresh, "left_semi"))
+    old = read_published(spark, silver_path, SILVER_TABLE, hours)
+    lost = cut_lineage(_same_report(old.select(*REPORT_KEY), fresh, "left_anti"))
+    changed, later = _ingest_hours(moved), None
+    if not lost.isEmpty():
+        # Only reports that bronze has lost are looked for in what it has after these hours.
+        after = read_bronze(spark, bronze_path).filter(since_hour(INGEST_HOUR_KEYS, hours.end))
+        copies = valid_reports(_same_report(typed_times(after), lost, "left_semi"))
+        later = cut_lineage(with_silver_hour(first_reports(copies)))
+        changed |= _ingest_hours(later)
+    if changed:
+        ranges = HourRange.around(changed, HOUR * 0)
+        kept = read_published(spark, silver_path, SILVER_TABLE, HourRange(ranges[0].start, ranges[-1].end), _at_hours(changed))
+        rows = rows.unionByName(_same_report(kept, moved, "left_anti"))
+    if later is not None:
+        rows = rows.unionByName(later)
+    _publish_hours(rows, silver_path, inside | changed)
+    return silver_path
+
+
+def _hours_of(hours: HourRange) -> list[datetime]:
+    return [hours.start + HOUR * step for step in range((hours.end - hours.start) // HOUR)]
+
+
+def _at_hours(hours: set[datetime]) -> Column:
+    return F.col("at").isin([place_name(moment) for moment in hours])

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from typing import Literal
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from skytracks.functions.times import HourRange
-from skytracks.schemas import BRONZE_TABLE, GOLD_DAY_KEY, INGEST_HOUR_KEYS, SILVER_HOUR_KEYS, SILVER_TABLE
+from skytracks.schemas import BRONZE_TABLE, GOLD_DAY_KEY, GOLD_TABLE, INGEST_HOUR_KEYS, SILVER_HOUR_KEYS, SILVER_TABLE
+from skytracks.sources.files import clustered, read_if_present
+from skytracks.sources.published import read_published
 
 WriteMode = Literal["append", "overwrite", "replace"]
 
@@ -32,30 +33,29 @@ def read_silver(
 ) -> DataFrame:
     """Silver rows with their hour keys.
 
-    The declared layout already covers files that lack a column, without opening every
+    A published table is read by its manifest. The declared layout already covers files that lack a column, without opening every
     footer; ``merge_schema`` asks Spark to collect unknown extra columns as well.
     """
+    published = read_published(spark, path, SILVER_TABLE, hours)
+    if published is not None:
+        return published
     if merge_schema:
         whole = spark.read.option("mergeSchema", True).parquet(path)
         return whole if hours is None else whole.filter(hours.prunes(SILVER_HOUR_KEYS))
     return _read_hours(spark, "parquet", SILVER_TABLE, path, SILVER_HOUR_KEYS, hours)
 
 
+def read_gold(spark: SparkSession, path: str) -> DataFrame:
+    """Gold rows with their day key, by the manifest where the table is published."""
+    published = read_published(spark, path, GOLD_TABLE)
+    return spark.read.schema(GOLD_TABLE).parquet(path) if published is None else published
+
+
 def read_flat(spark: SparkSession, path: str) -> DataFrame:
     """All Parquet files below ``path`` with merged schema and without the directory keys."""
     return spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(path)
 
 
-def read_if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
-    """The frame, or None when its path does not exist yet. Any other problem is raised."""
-    try:
-        return read()
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
 def _read_hours(
     spark: SparkSession,
     fmt: str,
@@ -86,16 +86,6 @@ def _named_dirs(keys: Sequence[str], hours: HourRange) -> list[str]:
     return list(dict.fromkeys(dirs))
 
 
-def clustered(rows: DataFrame, keys: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
-    """Bring rows of one output directory together before a partitioned write.
-
-    Rebalancing gives few, full files, and adaptive execution splits a directory that holds
-    far more than the others over several tasks. Sorting by ``within`` inside the directories
-    (the writer sorts by ``keys`` anyway) tightens the column statistics of each file.
-    """
-    return rows.hint("rebalance", *keys).sortWithinPartitions(*keys, *within)
-
-
 def write_partitioned(
     rows: DataFrame, path: str, keys: Sequence[str], mode: WriteMode, fmt: str = "parquet", **options
 ) -> None:

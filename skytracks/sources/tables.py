@@ -6,8 +6,11 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skytracks.sources.lake import WriteMode, clustered
+from skytracks.sources.files import clustered
+from skytracks.sources.lake import WriteMode
+from skytracks.sources.staged import StagedLoads
 
 
 def write_table(
@@ -59,3 +62,18 @@ def _replacing_partitions(spark: SparkSession) -> Iterator[None]:
 def write_connector(rows: DataFrame, fmt: str, mode: str = "append", **options) -> None:
     """Write through a connector named by ``fmt``, such as a warehouse data source on the class path."""
     rows.write.format(fmt).options(**options).mode(mode).save()
+
+
+def load_name(rows: DataFrame) -> str:
+    """A name that equal rows share, whatever their order and the files they lie in."""
+    held = F.xxhash64(*(F.col(name) for name in sorted(rows.columns)))
+    sums = [F.sum(part.cast("decimal(38, 0)")) for part in (held, F.xxhash64(held, F.lit(1)))]
+    count, *found = rows.agg(F.count(F.lit(1)), *sums).first()
+    return "-".join(str(value) for value in (count, *found))
+
+
+def write_load(rows: DataFrame, fmt: str, **options) -> None:
+    """Append ``rows`` through a connector as one load; the option ``load`` names it, by its contents if not given."""
+    if fmt == StagedLoads.name():
+        rows.sparkSession.dataSource.register(StagedLoads)
+    write_connector(rows, fmt, **({"load": load_name(rows)} | options))
