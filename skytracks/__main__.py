@@ -6,7 +6,7 @@ import argparse
 from datetime import timedelta
 
 from skytracks.plans.pipeline import run
-from skytracks.schemas import BoundingBox
+from skytracks.schemas import HORIZON_ROWS, BoundingBox
 from skytracks.session import build_session
 
 
@@ -22,6 +22,13 @@ def main(arguments: list[str] | None = None) -> dict[str, str | None]:
     parser.add_argument("--train", action="store_true", help="fit the models before scoring")
     parser.add_argument("--no-predictions", action="store_true")
     parser.add_argument("--table", help="catalog table that receives gold as well")
+    parser.add_argument("--connector", help="data source that receives gold as well, such as staged_loads")
+    parser.add_argument("--connector-option", action="append", default=[], metavar="NAME=VALUE")
+    parser.add_argument("--published", action="store_true", help="silver and gold are read by their manifests")
+    parser.add_argument("--overlap-minutes", type=float, default=60)
+    parser.add_argument("--on-malformed", choices=("fail", "skip"), default="fail")
+    parser.add_argument("--horizon", type=int, default=HORIZON_ROWS, help="rows that a target lies ahead")
+    parser.add_argument("--at-once", type=int, default=1, help="forests fitted side by side")
     for name in ("lamin", "lamax", "lomin", "lomax"):
         parser.add_argument(f"--{name}", type=float, default=getattr(box, name))
     options = parser.parse_args(arguments)
@@ -37,6 +44,13 @@ def main(arguments: list[str] | None = None) -> dict[str, str | None]:
         options.train,
         not options.no_predictions,
         options.table,
+        timedelta(minutes=options.overlap_minutes),
+        options.on_malformed,
+        options.horizon,
+        options.published,
+        options.connector,
+        dict(option.split("=", 1) for option in options.connector_option),
+        {"at_once": options.at_once},
     )
     for stage, path in done.items():
         print(f"{stage}: {path or 'nothing to do'}")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from skytracks.functions.times import DAY, HOUR, as_utc
 from skytracks.operators.clean import recent, with_ingest_date
+from skytracks.plans.runs import Counting, uncounted
 from skytracks.plans.silver import LoadMode, written_hours
 from skytracks.schemas import GOLD_DAY_KEY, GOLD_TABLE, LOOKBACK, SILVER_HOUR_KEYS, SILVER_TABLE
 from skytracks.sources.files import read_if_present
@@ -41,6 +42,7 @@ def load_gold(
     merge_schema: bool = False,
     connector: str | None = None,
     connector_options: Mapping[str, str] | None = None,
+    seen: Counting = uncounted,
 ) -> str | None:
     """Write gold, then from it ``table`` and the ``connector`` if named; None when there is nothing to publish.
 
@@ -54,7 +56,7 @@ def load_gold(
     if last_load(spark, silver_path) is not None:
         days = _publish_days(spark, silver_path, gold_path, mode)
     else:
-        days = _write_days(spark, silver_path, gold_path, mode, as_of, lookback, overlap, merge_schema)
+        days = _write_days(spark, silver_path, gold_path, mode, as_of, lookback, overlap, merge_schema, seen)
     if days is None:
         return None
     if table is not None or connector is not None:
@@ -75,13 +77,14 @@ def gold_files(spark: SparkSession, gold_path: str) -> DataFrame:
 def _write_days(
     spark: SparkSession, silver_path: str, gold_path: str, mode: LoadMode,
     as_of: datetime | str | None, lookback: timedelta, overlap: timedelta, merge_schema: bool,
+    seen: Counting,
 ) -> Callable[[DataFrame], DataFrame] | None:
     """Write the days of a plain table; returns what selects them from it, None when there is nothing to write."""
     if mode == "full":
         silver = read_if_present(lambda: read_silver(spark, silver_path, merge_schema=merge_schema))
         if silver is None or silver.isEmpty():
             return None
-        write_gold(gold_rows(silver), gold_path, "overwrite")
+        write_gold(seen(gold_rows(silver), "rows_out"), gold_path, "overwrite")
         return lambda gold: gold
     hours = written_hours(as_utc(as_of), lookback, overlap)
     days = hours.whole_days()
@@ -89,7 +92,7 @@ def _write_days(
     # What silver may have written: its whole hours, which begin before as_of - lookback.
     if silver is None or silver.filter(hours.prunes(SILVER_HOUR_KEYS)).isEmpty():
         return None
-    write_gold(gold_rows(silver), gold_path, "replace")
+    write_gold(seen(gold_rows(silver), "rows_out"), gold_path, "replace")
     first, last = days.start.date(), (days.end - DAY).date()
     return lambda gold: gold.filter(F.col(GOLD_DAY_KEY).between(F.lit(first), F.lit(last)))
 

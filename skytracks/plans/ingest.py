@@ -6,15 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skytracks.operators.clean import in_box
 from skytracks.operators.snapshot import flatten_snapshots, with_ingest_hour
+from skytracks.plans.runs import Counting, uncounted
 from skytracks.schemas import BoundingBox
 from skytracks.sources.lake import WriteMode, read_if_present, read_snapshots, write_bronze
 
 
 def bronze_rows(
-    documents: DataFrame, box: BoundingBox | None = BoundingBox(), on_malformed: str = "fail"
+    documents: DataFrame,
+    box: BoundingBox | None = BoundingBox(),
+    on_malformed: str = "fail",
+    seen: Counting = uncounted,
 ) -> DataFrame:
     """Flat rows inside ``box`` (``None`` keeps all), with their directory keys."""
-    rows = flatten_snapshots(documents, on_malformed=on_malformed)
+    rows = seen(flatten_snapshots(documents, on_malformed=on_malformed), "rows_in")
     return with_ingest_hour(rows if box is None else in_box(rows, box))
 
 

@@ -158,7 +158,34 @@ _EMPTIED = f"""{_COPIED}, left_over AS (
 )"""
 
 
+# The same tables of the reports inside the default box, which is what a whole run takes.
+_BOXED_MEANS = _MEANS.replace("AND velocity IS NOT NULL", f"AND {_IN_DEFAULT_BOX} AND velocity IS NOT NULL", 1)
+
+
+def _measure(stage: str, measure: str, value: str, table: str) -> str:
+    return f"SELECT '{stage}' AS stage, '{measure}' AS measure, CAST({value} AS DOUBLE) AS value FROM {table}"
+
+
+_RUN_COUNTS = " UNION ALL ".join(
+    (
+        _measure("bronze", "rows_in", "count(*)", "bronze"),
+        _measure("bronze", "rows_out", "count(*)", f"bronze WHERE {_IN_DEFAULT_BOX}"),
+        _measure("silver", "rows_in", "count(*)", f"bronze WHERE {_IN_DEFAULT_BOX}"),
+        _measure("silver", "rows_out", "count(*)", "silver"),
+        _measure("models", "test_rows", "count(*)", "flagged WHERE NOT is_train"),
+        *(_measure("models", f"rmse_{name}", f"round(sqrt(avg(pow({label} - mean_{name}, 2))), 6)", "flagged, means WHERE NOT is_train")
+          for name, label in TARGETS.items()),
+        _measure("predictions", "rows_out", "count(*)", f"motion WHERE {_SCORABLE}"),
+        _measure("gold", "rows_out", "count(*)", "silver"),
+    )
+)
+
+
 ORACLES: dict[str, str] = {
+    "run_counts": f"{_BOXED_MEANS} {_RUN_COUNTS}",
+    "whole_run_predictions": f"""{_BOXED_MEANS} SELECT icao24, {_POSITION_TIME}, lat, lon, baro_altitude,
+        {', '.join(f'round(mean_{name}, 6) AS predicted_{name}' for name in TARGETS)},
+        CAST(CAST(ingest_ts AS DATE) AS VARCHAR) AS ingest_date FROM motion, means WHERE {_SCORABLE}""",
     "bronze_scan": f"{_BRONZE} SELECT * FROM bronze",
     "bronze_roundtrip": f"{_BRONZE} {_WITH_INGEST_HOUR}",
     "snapshot_flatten": f"{_BRONZE} SELECT * FROM bronze",

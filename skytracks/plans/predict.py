@@ -10,6 +10,7 @@ from skytracks.operators.clean import with_ingest_date
 from skytracks.operators.forest import feature_list, predictions
 from skytracks.operators.motion import SLICE, scoring_rows
 from skytracks.plans.histories import moving_reports
+from skytracks.plans.runs import Counting, uncounted
 from skytracks.plans.state import DayMotion
 from skytracks.schemas import GOLD_DAY_KEY
 from skytracks.sources.lake import WriteMode, read_if_present, read_silver, write_predictions
@@ -35,6 +36,7 @@ def predict(
     predictions_path: str,
     hours: HourRange | None = None,
     state_path: str | None = None,
+    seen: Counting = uncounted,
 ) -> str | None:
     """Score silver and replace the predictions, or with ``hours`` only those of the days they touch.
 
@@ -50,7 +52,8 @@ def predict(
     features = feature_list(model)
 
     def write(rows: DataFrame, mode: WriteMode) -> None:
-        write_predictions(predictions(model, with_ingest_date(rows), GOLD_DAY_KEY), predictions_path, mode)
+        scored = predictions(model, with_ingest_date(rows), GOLD_DAY_KEY)
+        write_predictions(seen(scored, "rows_out"), predictions_path, mode)
 
     if days is None:
         write(_scorable(model, silver, SLICE, None), "overwrite")

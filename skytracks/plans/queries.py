@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from skytracks.functions.times import DAY, HOUR, ISO_SECONDS, HourRange, as_utc
 from skytracks.operators import clean, motion
+from skytracks.operators.counts import counted
 from skytracks.operators.forest import assembler, rmse_by_target
 from skytracks.operators.snapshot import flatten_snapshots, with_ingest_hour
 from skytracks.operators.split import in_train_part
@@ -21,11 +22,12 @@ from skytracks.plans import fixtures, gold, silver
 from skytracks.plans.histories import moving_reports
 from skytracks.plans.ingest import ingest
 from skytracks.plans.pipeline import Lake, run
+from skytracks.plans.runs import read_runs
 from skytracks.plans.predict import predict, predicted_positions
 from skytracks.plans.state import DayMotion, state_at
 from skytracks.plans.train import fit_and_evaluate, train, training_set
 from skytracks.schemas import BRONZE, FEATURES_8, FEATURES_14, GOLD_DAY_KEY, GOLD_TABLE, SILVER_HOUR_KEYS, TARGETS, BoundingBox
-from skytracks.session import fresh_dir, pin_utc
+from skytracks.session import cut_lineage, fresh_dir, fresh_name, pin_utc
 from skytracks.sources.lake import read_bronze, read_flat, read_gold, read_silver, write_bronze, write_silver
 from skytracks.sources.staged import read_loads
 from skytracks.sources.tables import write_table
@@ -38,6 +40,8 @@ AS_OF = "2024-01-15T12:00:00"
 # Longer than the time between any two reports of the table.
 EVER = timedelta(days=3660)
 NARROW_BOX = BoundingBox(43.0, 48.0, 0.0, 6.0)
+# A forest of one tree without splits predicts the mean of its train part.
+MEAN_FOREST = {"num_trees": 1, "maxDepth": 0, "bootstrap": False}
 QUERIES: dict[str, Query] = {}
 
 
@@ -285,20 +289,43 @@ def feature_vector_short(spark, sf_dir):
 
 @_registered
 def stage_counts(spark, sf_dir):
-    """Rows left after each stage."""
-    bronze = _bronze(spark, sf_dir)
-    stages = {
-        "bronze": bronze,
-        "valid": clean.valid_reports(bronze),
-        "silver": silver.silver_rows(bronze),
-        "training": training_set(silver.silver_rows(bronze)),
-    }
-    counts = [rows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
-              for name, rows in stages.items()]
-    total = counts[0]
-    for count in counts[1:]:
-        total = total.unionByName(count)
-    return total
+    """Rows left after each stage, counted in the one pass that makes the training rows."""
+    seen = {}
+
+    def count(rows: DataFrame, stage: str) -> DataFrame:
+        rows, seen[stage] = counted(rows, f"{stage}_{fresh_name('rows')}")
+        return rows
+
+    typed = clean.typed_times(count(_bronze(spark, sf_dir), "bronze"))
+    valid = count(clean.valid_reports(typed), "valid")
+    rows = count(clean.with_silver_hour(clean.first_reports(valid)), "silver")
+    count(training_set(cut_lineage(rows)), "training").write.format("noop").mode("overwrite").save()
+    found = [(stage, observation.get["rows"]) for stage, observation in seen.items()]
+    return spark.createDataFrame(found, "stage STRING, rows LONG")
+
+
+@_registered
+def run_counts(spark, sf_dir):
+    """The run table of a whole run: rows that its stages read and wrote, and the errors of its training."""
+    root = _whole_run(spark, sf_dir, with_training=True)
+    runs = read_runs(spark, Lake(root).runs).filter("mode = 'full'")
+    return runs.select("stage", "measure", F.round("value", 6).alias("value"))
+
+
+@_registered
+def whole_run_predictions(spark, sf_dir):
+    """Predictions of a whole run with training, and then of an incremental run over its last days, by the state of last reports."""
+    root = _whole_run(spark, sf_dir, with_training=True)
+    run(spark, root, mode="incremental", as_of=AS_OF, lookback=12 * HOUR)
+    names = [f"predicted_{name}" for name in TARGETS]
+    return spark.read.parquet(Lake(root).predictions).withColumns({name: F.round(name, 6) for name in names})
+
+
+def _whole_run(spark: SparkSession, sf_dir: str, **options) -> str:
+    landing, root = fresh_dir(spark, "landing"), fresh_dir(spark, "lake")
+    fixtures.snapshot_documents(spark, sf_dir).write.text(landing)
+    run(spark, root, landing, "full", AS_OF, one_per_line=True, forest_params=MEAN_FOREST, **options)
+    return root
 
 
 # --- gold ---------------------------------------------------------------------------------
@@ -445,10 +472,6 @@ def rf_rmse(spark, sf_dir):
     return fit_and_evaluate(training_set(_silver(spark, sf_dir)))[1]
 
 
-# A forest of one tree without splits predicts the mean of its train part.
-MEAN_FOREST = {"num_trees": 1, "maxDepth": 0, "bootstrap": False}
-
-
 @_registered
 def forest_mean_rmse(spark, sf_dir):
     """Error, on the test part, of forests that predict the mean of the train part."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from skytracks.functions.times import HOUR, HourRange, as_utc, since_hour
 from skytracks.operators.clean import first_reports, recent, typed_times, valid_reports, with_silver_hour
+from skytracks.plans.runs import Counting, uncounted
 from skytracks.schemas import INGEST_HOUR_KEYS, LOOKBACK, REPORT_KEY, SILVER_HOUR_KEYS, SILVER_TABLE
 from skytracks.session import cut_lineage
 from skytracks.sources.lake import read_bronze, read_if_present, write_silver
@@ -55,10 +56,11 @@ def load_silver(
     lookback: timedelta = LOOKBACK,
     overlap: timedelta = HOUR,
     published: bool = False,
+    seen: Counting = uncounted,
 ) -> str | None:
     """Write silver; None when there is no bronze to read.
 
-    A table that is ``published``, or has been before, is read by its manifest (``sources.published``), and its loads find
+    ``seen`` counts the rows read and written. A table that is ``published``, or has been before, is read by its manifest (``sources.published``), and its loads find
     repeats however far apart; see ``replace_hours``. For a plain one:
 
     ``full`` replaces the table. ``incremental`` replaces whole hour directories, so repeating
@@ -69,32 +71,39 @@ def load_silver(
         bronze = read_if_present(lambda: read_bronze(spark, bronze_path))
         if bronze is None:
             return None
+        rows = silver_rows(seen(bronze, "rows_in"))
         if published or last_load(spark, silver_path) is not None:
-            _publish_hours(silver_rows(bronze), silver_path, None)
+            _publish_hours(rows, silver_path, None)
         else:
-            write_silver(silver_rows(bronze), silver_path, "overwrite")
+            write_silver(seen(rows, "rows_out"), silver_path, "overwrite")
         return silver_path
     hours = written_hours(as_utc(as_of), lookback, overlap)
     if published and last_load(spark, silver_path) is None:
-        return replace_hours(spark, bronze_path, silver_path, hours)
-    return load_hours(spark, bronze_path, silver_path, hours, overlap)
+        return replace_hours(spark, bronze_path, silver_path, hours, seen)
+    return load_hours(spark, bronze_path, silver_path, hours, overlap, seen)
 
 
 def load_hours(
-    spark: SparkSession, bronze_path: str, silver_path: str, hours: HourRange, overlap: timedelta = HOUR
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    hours: HourRange,
+    overlap: timedelta = HOUR,
+    seen: Counting = uncounted,
 ) -> str | None:
     """Replace the ``hours`` of silver by what bronze has of them; None when it has nothing near them."""
     if last_load(spark, silver_path) is not None:
-        return replace_hours(spark, bronze_path, silver_path, hours)
+        return replace_hours(spark, bronze_path, silver_path, hours, seen)
     bronze = read_if_present(lambda: read_bronze(spark, bronze_path, hours.widened(before=overlap)))
     if bronze is None or bronze.isEmpty():
         return None
-    write_silver(hour_rows(bronze, hours), silver_path, "replace")
+    write_silver(seen(hour_rows(seen(bronze, "rows_in"), hours), "rows_out"), silver_path, "replace")
     return silver_path
 
 
 def _publish_hours(rows: DataFrame, silver_path: str, covered: set[datetime] | None) -> None:
-    publish(rows.select(*SILVER_TABLE.names), silver_path, SILVER_HOUR_KEYS, covered, F.date_trunc("hour", "ingest_ts"))
+    place = F.date_trunc("hour", "ingest_ts")
+    publish(rows.select(*SILVER_TABLE.names), silver_path, SILVER_HOUR_KEYS, covered, place, ranged=covered is not None)
 
 
 def _same_report(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
@@ -111,7 +120,9 @@ def _ingest_hours(rows: DataFrame) -> set[datetime]:
     return {as_utc(f"{row['at']}:00:00") for row in names}
 
 
-def replace_hours(spark: SparkSession, bronze_path: str, silver_path: str, hours: HourRange) -> str | None:
+def replace_hours(
+    spark: SparkSession, bronze_path: str, silver_path: str, hours: HourRange, seen: Counting = uncounted
+) -> str | None:
     """Replace the ``hours`` of a published table so that the whole of it is what a full load gives.
 
     Silver holds the earliest copy of every report, and the manifest says which of its files hold position times of which days. So
@@ -124,7 +135,7 @@ def replace_hours(spark: SparkSession, bronze_path: str, silver_path: str, hours
         return None
     inside = set(_hours_of(hours))
     in_hours = hours.contains(F.col("ingest_ts"))
-    fresh = cut_lineage(silver_rows(bronze).filter(in_hours))
+    fresh = cut_lineage(silver_rows(seen(bronze, "rows_in")).filter(in_hours))
     days = [row["day"] for row in fresh.select(F.col("time_position").cast("date").cast("string").alias("day")).distinct().collect()]
     named = of_position_days(sorted(day for day in days if day is not None), None in days)
     there = read_published(spark, silver_path, SILVER_TABLE, wanted=named)

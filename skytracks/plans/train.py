@@ -15,7 +15,7 @@ from skytracks.operators.motion import SLICE, training_rows
 from skytracks.operators.split import in_train_part, random_parts
 from skytracks.plans.histories import moving_reports
 from skytracks.schemas import FEATURES_14, HORIZON_ROWS, TARGETS
-from skytracks.session import cut_lineage
+from skytracks.session import cut_lineage, keep_layout
 from skytracks.sources.lake import read_silver
 from skytracks.sources.models import save_model
 
@@ -48,10 +48,11 @@ def fit_and_evaluate(
     columns = ["icao24", "time_position", "features", *TARGETS.values()]
     if split == "hash":
         columns.append(in_train_part().alias("is_train"))
-    stored = cut_lineage(assembler(features).transform(rows).select(*columns))
-    parts = max(1, -(-stored.count() // ROWS_PER_PART))
     keys = ["icao24", "time_position", *TARGETS.values()]
-    stored = stored.repartition(parts, *keys).sortWithinPartitions(*keys)
+    # Stored once more as the fits read them: none of them shuffles or sorts again.
+    assembled = cut_lineage(assembler(features).transform(rows).select(*columns))
+    parts = max(1, -(-assembled.count() // ROWS_PER_PART))
+    stored = keep_layout(assembled.repartition(parts, *keys).sortWithinPartitions(*keys))
     if split == "hash":
         train, test = stored.filter("is_train"), stored.filter(~F.col("is_train"))
     else:

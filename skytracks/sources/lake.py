@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from skytracks.functions.times import HourRange
 from skytracks.schemas import BRONZE_TABLE, GOLD_DAY_KEY, GOLD_TABLE, INGEST_HOUR_KEYS, SILVER_HOUR_KEYS, SILVER_TABLE
 from skytracks.sources.files import clustered, read_if_present
-from skytracks.sources.published import read_published
+from skytracks.sources.published import of_aircraft, read_published
 
 WriteMode = Literal["append", "overwrite", "replace"]
 
@@ -29,13 +29,21 @@ def read_bronze(spark: SparkSession, path: str, hours: HourRange | None = None)
 
 
 def read_silver(
-    spark: SparkSession, path: str, hours: HourRange | None = None, merge_schema: bool = False
+    spark: SparkSession,
+    path: str,
+    hours: HourRange | None = None,
+    merge_schema: bool = False,
+    aircraft: Sequence[str] | None = None,
 ) -> DataFrame:
     """Silver rows with their hour keys.
 
-    A published table is read by its manifest. The declared layout already covers files that lack a column, without opening every
+    A published table is read by its manifest; for a few ``aircraft`` only the files that may hold them are named. The declared layout already covers files that lack a column, without opening every
     footer; ``merge_schema`` asks Spark to collect unknown extra columns as well.
     """
+    if aircraft is not None:
+        listed = F.col("icao24").isin(list(aircraft))
+        published = read_published(spark, path, SILVER_TABLE, hours, of_aircraft(aircraft))
+        return (read_silver(spark, path, hours, merge_schema) if published is None else published).filter(listed)
     published = read_published(spark, path, SILVER_TABLE, hours)
     if published is not None:
         return published

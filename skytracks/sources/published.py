@@ -41,6 +41,14 @@ def last_load(spark: SparkSession, root: str) -> int | None:
     return None if entries is None else entries.agg(F.max("number")).first()[0]
 
 
+def rows_since(spark: SparkSession, root: str, number: int | None) -> int | None:
+    """Rows that the loads after ``number`` have brought, as their manifests say; None if the table is not published."""
+    entries = manifest(spark, root)
+    if entries is None:
+        return None
+    return entries.filter(F.col("number") > (-1 if number is None else number)).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+
+
 def live_files(spark: SparkSession, root: str) -> DataFrame | None:
     """The entries of the files that make up the table now."""
     entries = manifest(spark, root)
@@ -102,17 +110,22 @@ def publish(
     covered: Iterable[datetime] | None,
     place: Column,
     source: int | None = None,
+    ranged: bool = False,
 ) -> int:
     """Write ``rows`` as one load that covers the places ``covered``, or everything, and make it visible. Returns its number.
 
     ``place`` is the hour or day a row belongs to; all rows lie in covered places. ``source`` notes the load of another table
-    that this one was made from. Of two loads begun at once the later one fails.
+    that this one was made from. With ``ranged`` the files of a place hold ranges of aircraft, for rows that are cheap to read twice.
+    Of two loads begun at once the later one fails.
     """
     spark, base = rows.sparkSession, root.rstrip("/")
     before = last_load(spark, root)
     number = 0 if before is None else before + 1
     folder = f"{base}/load={fresh_name(f'{number:09d}')}"
-    clustered(rows, keys, ("icao24", "time_position")).write.partitionBy(*keys).parquet(folder)
+    within = ("icao24", "time_position")
+    # Ranges that adaptive execution merges stay in order, so a file holds neighbours only.
+    placed = rows.repartitionByRange(*keys, "icao24").sortWithinPartitions(*keys, *within) if ranged else clustered(rows, keys, within)
+    placed.write.partitionBy(*keys).parquet(folder)
     written = spark.read.schema(rows.schema).parquet(folder)
     name = F.regexp_extract(F.col("_metadata.file_path"), "(load=.*)$", 1)
     entries = written.select("*", name.alias("_file"), F.date_format(place, _AT).alias("_at")).groupBy("_file").agg(

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from skytracks.functions.times import HOUR, HourRange
 from skytracks.operators.snapshot import with_ingest_hour
 from skytracks.plans.ingest import bronze_rows
+from skytracks.plans.runs import Counting, uncounted
 from skytracks.schemas import BRONZE, BoundingBox
 from skytracks.sources.lake import read_bronze, read_if_present, write_bronze
 from skytracks.streaming.silver import touched_hours
@@ -33,6 +34,7 @@ def stream_bronze(
     box: BoundingBox | None = BoundingBox(),
     one_per_line: bool = False,
     on_malformed: str = "fail",
+    seen: Counting = uncounted,
     **source_options,
 ) -> StreamingQuery:
     """Append the rows of documents not seen before to bronze, then stop.
@@ -46,12 +48,14 @@ def stream_bronze(
     def append(batch: DataFrame, number: int) -> None:
         # The batch has a session of its own, where adaptive execution may be off.
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", spark.conf.get("spark.sql.adaptive.enabled"))
-        rows, begun = bronze_rows(batch, box, on_malformed), f"{checkpoint.rstrip('/')}/begun/{number}"
+        begun = f"{checkpoint.rstrip('/')}/begun/{number}"
         if read_if_present(lambda: spark.read.text(begun)) is None:
             spark.range(1).selectExpr("string(id) AS value").write.text(begun)
+            rows = bronze_rows(batch, box, on_malformed, seen)
         else:
-            rows = _not_yet_written(rows, bronze_path)
-        write_bronze(rows, bronze_path)
+            # What a batch repeats was counted, if at all, by the run that began it.
+            rows = _not_yet_written(bronze_rows(batch, box, on_malformed), bronze_path)
+        write_bronze(seen(rows, "rows_out"), bronze_path)
 
     stream = documents.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     return stream.trigger(availableNow=True).start()
