@@ -21,7 +21,8 @@ from skytracks.operators.motion import (
 )
 from skytracks.schemas import HORIZON_ROWS, SILVER_HOUR_KEYS, SILVER_TABLE
 from skytracks.session import cut_lineage, fresh_name
-from skytracks.sources.lake import read_if_present, read_silver
+from skytracks.sources.files import exists
+from skytracks.sources.lake import read_silver
 
 KEPT = HORIZON_ROWS + 1
 _PLACE = ("time_position", "ingest_ts")
@@ -48,7 +49,8 @@ def last_reports(reports: DataFrame, kept: int = KEPT) -> DataFrame:
 
 
 def _log(spark: SparkSession, state_path: str) -> DataFrame | None:
-    return read_if_present(lambda: spark.read.schema(_LOG).json(f"{state_path.rstrip('/')}/log"))
+    path = f"{state_path.rstrip('/')}/log"
+    return spark.read.schema(_LOG).json(path) if exists(spark, path) else None
 
 
 def _noted(spark: SparkSession, state_path: str, kind: str, at: datetime, path: str | None = None) -> None:

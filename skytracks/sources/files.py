@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def read_if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
@@ -18,6 +18,12 @@ def read_if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
         raise
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, on any file system that Spark reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def clustered(rows: DataFrame, keys: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
     """Bring rows of one output directory together before a partitioned write.
 

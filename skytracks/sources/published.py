@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from skytracks.functions.times import HourRange
 from skytracks.session import fresh_name
-from skytracks.sources.files import clustered, read_if_present
+from skytracks.sources.files import clustered, exists
 
 # ``at`` is the start of a place, an hour or a day. Rows without a path say what a load covers, and everything where at is null too.
 _ENTRY = (
@@ -33,7 +33,8 @@ def place_name(moment: datetime) -> str:
 
 def manifest(spark: SparkSession, root: str) -> DataFrame | None:
     """All entries of a published table; None for any other table."""
-    return read_if_present(lambda: spark.read.schema(_ENTRY).json(f"{root.rstrip('/')}/_manifest/*"))
+    path = f"{root.rstrip('/')}/_manifest"
+    return spark.read.schema(_ENTRY).json(f"{path}/*") if exists(spark, path) else None
 
 
 def last_load(spark: SparkSession, root: str) -> int | None:
@@ -68,7 +69,7 @@ def covered_since(spark: SparkSession, root: str, number: int | None) -> tuple[l
     if number is not None:
         covers = covers.filter(F.col("number") > number)
     found = [row["at"] for row in covers.select("at").distinct().collect()]
-    return sorted(at for at in found if at is not None), None in found
+    return sorted(at for at in found if at), None in found
 
 
 def read_published(
@@ -137,7 +138,8 @@ def publish(
         F.count_if(F.col("time_position").isNull()).alias("untimed"),
     )
     numbered = entries.withColumnRenamed("_file", "path").withColumn("number", F.lit(number)).withColumn("source", F.lit(source).cast("long"))
-    places = [None] if covered is None else sorted({place_name(moment) for moment in covered})
+    # A load that covers nothing has a mark all the same, of no place.
+    places = [None] if covered is None else sorted({place_name(moment) for moment in covered}) or [""]
     marks = spark.createDataFrame([(number, at, source) for at in places], "number LONG, at STRING, source LONG")
     # One task and one file: the rename that commits it is the moment of the load.
     numbered.unionByName(marks, allowMissingColumns=True).coalesce(1).write.json(f"{base}/_manifest/{number:09d}")
