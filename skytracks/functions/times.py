@@ -19,9 +19,9 @@ def epoch_to_iso(epoch: Column) -> Column:
     return F.date_format(F.timestamp_seconds(F.floor(epoch)), ISO_SECONDS)
 
 
-def report_epoch(text: Column) -> Column:
-    """A report's epoch slot as a number; zero counts as missing."""
-    return F.nullif(text.try_cast("double"), F.lit(0.0))
+def report_epoch(number: Column) -> Column:
+    """A report's epoch slot; zero counts as missing."""
+    return F.nullif(number.try_cast("double"), F.lit(0.0))
 
 
 def parse_time(text: Column) -> Column:

@@ -11,8 +11,10 @@ from skytracks.functions.text import clean_callsign
 from skytracks.functions.times import epoch_to_iso, padded_calendar_parts, parse_time, report_epoch
 from skytracks.schemas import BRONZE, INGEST_HOUR_KEYS
 
-# State vectors mix strings, numbers, booleans and nulls, so every slot is read as text first.
-DOCUMENT = "time DOUBLE, states ARRAY<ARRAY<STRING>>, _malformed STRING"
+# State vectors mix strings, numbers, booleans and nulls: every slot is read with the type it has in the document.
+DOCUMENT = "time DOUBLE, states ARRAY<ARRAY<VARIANT>>, _malformed STRING"
+# Types of a slot that count as a number; text that looks like one does not.
+_NUMBER = "^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"
 
 # The position of each named field in a state vector.
 SLOTS = (
@@ -27,7 +29,8 @@ def flatten_snapshots(
     """One bronze row per state vector of each snapshot document in ``column``.
 
     Documents whose states are null, missing or empty give no rows. A document that is not
-    valid JSON or has no time stops the job, or is left out with ``on_malformed="skip"``.
+    valid JSON or has no time stops the job, or is left out with ``on_malformed="skip"``. A slot of another type than
+    its field's becomes null: quoted numbers, text where a number belongs, anything but true and false on ``on_ground``.
     """
     parsed = documents.select(
         F.from_json(column, DOCUMENT, {"columnNameOfCorruptRecord": "_malformed"}).alias("doc")
@@ -46,15 +49,19 @@ def flatten_snapshots(
 
 def _field(name: str) -> Column:
     # get() is null past the end of a short vector; slots after the named ones are ignored.
-    text = F.get("state", F.lit(SLOTS.index(name)))
+    slot = F.get("state", F.lit(SLOTS.index(name)))
+    held = F.schema_of_variant(slot)
+    number = F.when(held.rlike(_NUMBER), F.try_variant_get(slot, "$", "double"))
     if name == "callsign":
-        value = clean_callsign(text)
+        value = clean_callsign(F.try_variant_get(slot, "$", "string"))
     elif name in ("time_position", "last_contact"):
-        value = epoch_to_iso(report_epoch(text))
+        value = epoch_to_iso(report_epoch(number))
     elif name == "on_ground":
-        value = F.when(text == "true", True).when(text == "false", False)
+        value = F.when(held == "BOOLEAN", F.try_variant_get(slot, "$", "boolean"))
+    elif BRONZE[name].dataType.typeName() == "double":
+        value = number
     else:
-        value = text.try_cast(BRONZE[name].dataType)
+        value = F.try_variant_get(slot, "$", "string")
     return value.alias(name)
 
 

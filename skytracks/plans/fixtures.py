@@ -70,11 +70,12 @@ def _json(value: Column) -> Column:
     return listed.substr(F.lit(2), F.length(listed) - 2)
 
 
-def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def snapshot_documents(spark: SparkSession, sf_dir: str, mistyped: bool = False) -> DataFrame:
     """The same reports as raw snapshot documents, in a ``value`` column.
 
     Callsigns are padded or missing, a missing position time is 0 or null, and vectors have
-    12 or 17 slots, or 11 where the last named one is null.
+    12 or 17 slots, or 11 where the last named one is null. With ``mistyped`` some numbers are quoted, some velocities
+    are text, and some on_ground flags are quoted.
     """
     rows = bronze_reports(spark, sf_dir, "event_id")
     even = F.col("event_id") % 2 == 0
@@ -85,10 +86,15 @@ def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     position = F.unix_timestamp("time_position", ISO_SECONDS)
     raw["time_position"] = F.when(position.isNull() & even, F.lit(0)).otherwise(position)
     raw["last_contact"] = F.unix_timestamp("last_contact", ISO_SECONDS)
-    last = raw.pop("vertical_rate")
+    json = {name: _json(column) for name, column in raw.items()}
+    if mistyped:
+        for name, every, quoted in (("lon", 5, F.col("lon").cast("string")), ("last_contact", 7, raw["last_contact"].cast("string")),
+                                    ("velocity", 8, F.lit("1d")), ("on_ground", 6, F.col("on_ground").cast("string"))):
+            json[name] = F.when(_every(every), _json(quoted)).otherwise(json[name])
+    last, _ = raw.pop("vertical_rate"), json.pop("vertical_rate")
     tail = F.when(last.isNull(), F.lit("")).otherwise(F.concat(F.lit(","), _json(last)))
     extra = F.when(last.isNotNull() & even, F.lit(',null,1200.5,"7000",false,0')).otherwise(F.lit(""))
-    vector = F.concat(F.lit("["), F.concat_ws(",", *(_json(c) for c in raw.values())), tail, extra, F.lit("]"))
+    vector = F.concat(F.lit("["), F.concat_ws(",", *json.values()), tail, extra, F.lit("]"))
     block = F.shiftright(F.monotonically_increasing_id(), DOCUMENT_BITS)
     grouped = (
         rows.select("ingest_ts", block.alias("block"), vector.alias("vector"))

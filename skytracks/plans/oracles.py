@@ -189,6 +189,16 @@ ORACLES: dict[str, str] = {
     "bronze_scan": f"{_BRONZE} SELECT * FROM bronze",
     "bronze_roundtrip": f"{_BRONZE} {_WITH_INGEST_HOUR}",
     "snapshot_flatten": f"{_BRONZE} SELECT * FROM bronze",
+    "snapshot_mistyped": f"""{_BRONZE.replace("SELECT " + _iso("snap") + " AS ingest_ts", "SELECT event_id, " + _iso("snap") + " AS ingest_ts")}
+        SELECT * EXCLUDE (event_id) REPLACE (
+          CASE WHEN event_id % 5 <> 0 THEN lon END AS lon, CASE WHEN event_id % 7 <> 0 THEN last_contact END AS last_contact,
+          CASE WHEN event_id % 8 <> 0 THEN velocity END AS velocity, CASE WHEN event_id % 6 <> 0 THEN on_ground END AS on_ground)
+        FROM bronze""",
+    "silver_merged_scan": f"""{_SILVER} SELECT * REPLACE ({_TIMES}),
+        CASE WHEN ingest_ts >= TIMESTAMP '2024-01-15 12:00:00' THEN upper(icao24) END AS squawk FROM silver""",
+    "gold_from_table": f"{_SILVER} SELECT {_GOLD}, {_INGEST_HOUR} FROM silver",
+    "silver_since_now": f"""{_BRONZE} SELECT * REPLACE ({_TIMES}) FROM typed
+        WHERE ingest_ts > (SELECT max(ingest_ts) FROM typed) - INTERVAL 12 HOUR""",
     "snapshot_ingest": f"{_BRONZE} {_WITH_INGEST_HOUR} WHERE {_IN_DEFAULT_BOX}",
     "stream_ingest": f"{_BRONZE} {_WITH_INGEST_HOUR} WHERE {_IN_DEFAULT_BOX}",
     "bbox_filter": f"{_BRONZE} SELECT * FROM bronze WHERE {_IN_DEFAULT_BOX}",

@@ -108,6 +108,12 @@ def snapshot_flatten(spark, sf_dir):
     return flatten_snapshots(fixtures.snapshot_documents(spark, sf_dir))
 
 
+@_registered
+def snapshot_mistyped(spark, sf_dir):
+    """Documents with quoted numbers and flags and with text for numbers: such slots are null."""
+    return flatten_snapshots(fixtures.snapshot_documents(spark, sf_dir, mistyped=True))
+
+
 @_registered
 def snapshot_ingest(spark, sf_dir):
     """Landed documents to bronze files inside the default box."""
@@ -418,6 +424,44 @@ def gold_connector(spark, sf_dir):
     return read_loads(spark, sink, GOLD_TABLE).drop("source_file")
 
 
+@_registered
+def silver_merged_scan(spark, sf_dir):
+    """Silver with merged schema: the days after the middle of the month have files with a column more."""
+    rows, path = _silver(spark, sf_dir), fresh_dir(spark, "silver")
+    later = F.col("ingest_ts") >= F.lit(as_utc(AS_OF))
+    write_silver(rows.filter(~later), path, "append")
+    write_silver(rows.filter(later).withColumn("squawk", F.upper("icao24")), path, "append")
+    return read_silver(spark, path, merge_schema=True)
+
+
+@_registered
+def gold_from_table(spark, sf_dir):
+    """Gold published to a catalog table by ``load_gold``, whole and then some of its days again."""
+    path, published, files = _silver_table(spark, sf_dir), fresh_dir(spark, "gold"), fresh_dir(spark, "table")
+    name = f"gold_{files.rsplit('-', 1)[1]}"
+    write_table(read_gold_layout(spark), name, partition_by=GOLD_DAY_KEY, path=files)
+    gold.load_gold(spark, path, published, "full", table=name)
+    gold.load_gold(spark, path, published, "incremental", AS_OF, lookback=12 * HOUR, table=name)
+    found = cut_lineage(spark.table(name).drop("source_file"))
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
+def read_gold_layout(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], GOLD_TABLE)
+
+
+@_registered
+def silver_since_now(spark, sf_dir):
+    """Reports of the last hours by the clock: the table's times are moved so that its last report came just now."""
+    typed = clean.typed_times(_bronze(spark, sf_dir))
+    last = typed.agg(F.max("ingest_ts").alias("last"))
+    shift = F.current_timestamp() - F.col("last")
+    moved = typed.withColumn("one", F.lit(1)).join(last.withColumn("one", F.lit(1)), "one").drop("one")
+    fresh = clean.recent(moved.withColumn("told", F.col("ingest_ts")).withColumn("ingest_ts", F.col("ingest_ts") + shift), lookback=12 * HOUR)
+    return fresh.drop("last", "ingest_ts").withColumnRenamed("told", "ingest_ts")
+
+
 @_registered
 def gold_merged_scan(spark, sf_dir):
     """Recursive scan of silver with merged schema: the directory keys are gone."""

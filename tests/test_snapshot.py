@@ -75,6 +75,13 @@ def test_mistyped_slots_become_null(spark):
     assert row["lon"] == 2.5
 
 
+def test_quoted_numbers_and_flags_become_null(spark):
+    row = one(spark, lat="2.0", lon="1d", on_ground="true", time_position="1705320000", velocity=12, heading=1e2)
+    assert [row[name] for name in ("lat", "lon", "on_ground", "time_position")] == [None] * 4
+    assert (row["velocity"], row["heading"], row["vertical_rate"] is not None) == (12.0, 100.0, True)
+    assert one(spark, lat=True)["lat"] is None and one(spark, on_ground=1)["on_ground"] is None
+
+
 def test_unicode_and_quotes_survive(spark):
     assert one(spark, origin_country='Côte d\'Ivoire "CI"')["origin_country"] == 'Côte d\'Ivoire "CI"'
 
