@@ -28,12 +28,12 @@ def unescaped(content: Column) -> Column:
 
 
 def escaped_role(role: Column) -> Column:
-    """A line break would end the header, so it is written as a control-free mark."""
-    return F.replace(escaped(role), F.lit("\n"), F.lit("<\\n|"))
+    r"""A line break would end the header, so it is written as the mark ``<\n|``; a mark that the role has itself gets one more ``\``."""
+    return F.replace(F.regexp_replace(escaped(role), r"<(\\+)n\|", r"<\\$1n|"), F.lit("\n"), F.lit("<\\n|"))
 
 
 def unescaped_role(role: Column) -> Column:
-    return unescaped(F.replace(role, F.lit("<\\n|"), F.lit("\n")))
+    return unescaped(F.regexp_replace(F.replace(role, F.lit("<\\n|"), F.lit("\n")), r"<\\(\\+)n\|", r"<$1n|"))
 
 
 def rendered(turns: Column, role=lambda value: value, text=lambda value: value) -> Column:

@@ -64,11 +64,8 @@ with rows as (
          trim(regexp_replace(regexp_replace(lower(line), '[0-9]', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as line,
          len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda w: w <> '')) as words
   from line_rows
-), hosts as (
-  select host, count(distinct text) as texts from rows group by host
 ), frequent as (
-  select host, line from (select host, line, count(distinct text) as docs from normal group by host, line) join hosts using (host)
-  where docs > 10 and docs > 0.1 * texts
+  select host, line from normal group by host, line having count(distinct text) > 10
 ), removed as (
   select rid, sum(words) as n from normal join frequent using (host, line) group by rid
 ), base as (

@@ -121,7 +121,9 @@ def placed(cut: DataFrame, capacity: int = CAPACITY, block_pieces: int = BLOCK_P
             .append_column("offset", pa.array(offset, pa.int64()))
         )
 
-    dealt = cut.withColumn("__block", F.pmod(F.xxhash64("doc_id", "piece", "length", "ids_crc32"), F.lit(blocks)))
+    # The number of a stored row goes in, so that equal rows spread over the blocks like any others.
+    content = ("doc_id", "piece", "length", "ids_crc32")
+    dealt = cut.withColumn("__block", F.pmod(F.xxhash64(*content, F.monotonically_increasing_id()), F.lit(blocks)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema) + ", sequence_id long, offset long"
     return dealt.groupBy("__block").applyInArrow(pack, schema)
 

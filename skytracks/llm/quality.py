@@ -22,7 +22,7 @@ WINDOW = 5
 
 @dataclass(frozen=True)
 class Limits:
-    """``line_docs`` and ``line_share``: a line is removed when more texts than either hold it on its host.
+    """``line_docs``: a line is removed when more distinct texts than so many hold it on its host, however large the host is.
 
     ``left_share`` and ``min_words``: what has to be left of a document.
     """
@@ -30,10 +30,21 @@ class Limits:
     min_words: int = 10
     repeat_percent: int = 20
     line_docs: int = 10
-    line_share: float = 0.1
     left_share: float = 0.3
 
 
+MEASURES = (
+    "n_words",
+    "word_chars",
+    "n_symbols",
+    "n_dup_lines",
+    "n_repeat_words",
+    "n_removed_words",
+    "base_failed",
+    "kept",
+)
+
+
 def normalised(line: Column) -> Column:
     plain = F.regexp_replace(F.regexp_replace(F.lower(line), "[0-9]", "0"), f"[{SPACES}]+", " ")
     return F.trim(plain)
@@ -132,12 +143,9 @@ def frequent_lines(docs: DataFrame, host: str = "source", limits: Limits = Limit
 
     ``distinct`` and ``count`` combine before each shuffle: neither a hot host nor a hot line meets whole in one task.
     """
-    hosts = _keyed(docs, host).select("__host", "__text").distinct()
-    hosts = hosts.groupBy("__host").agg(F.count(F.lit(1)).alias("__texts"))
     counts = line_rows(docs, host).select("__host", "__hash", "__text").distinct()
     counts = counts.groupBy("__host", "__hash").agg(F.count(F.lit(1)).alias("__docs"))
-    common = counts.filter(F.col("__docs") > limits.line_docs).join(hosts, "__host")
-    return common.filter(F.col("__docs") > limits.line_share * F.col("__texts")).select("__host", "__hash")
+    return counts.filter(F.col("__docs") > limits.line_docs).select("__host", "__hash")
 
 
 def removed_lines(docs: DataFrame, host: str = "source", limits: Limits = Limits()) -> DataFrame:
@@ -167,22 +175,18 @@ def judged(docs: DataFrame, host: str = "source", limits: Limits = Limits()) ->
 
 def quality(docs: DataFrame, host: str = "source", limits: Limits = Limits()) -> DataFrame:
     """Measures and verdict per document, without its text."""
-    return judged(docs, host, limits).select(
-        "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        "n_removed_words",
-        "base_failed",
-        "kept",
-    )
+    return judged(docs, host, limits).select("doc_id", *MEASURES)
 
 
 def keep_good(docs: DataFrame, host: str = "source", limits: Limits = Limits()) -> DataFrame:
-    """The documents that pass, without the removed lines, in the columns of ``docs``; n_chars follows the text."""
-    passed = judged(docs, host, limits).filter("kept")
+    """The documents that pass, without the removed lines, in the columns of ``docs``; n_chars follows the text.
+
+    A column of the documents that is named like a measure keeps its values.
+    """
+    # Own columns of those names go under others while the measures are there.
+    own = {name: f"__own_{name}" for name in docs.columns if name in MEASURES}
+    passed = judged(docs.withColumnsRenamed(own), own.get(host, host), limits).filter("kept").drop(*MEASURES)
+    passed = passed.withColumnsRenamed({held: name for name, held in own.items()})
     lines = F.filter(
         F.split("text", "\n", -1), lambda _, at: ~F.array_contains(F.col("__places"), at)
     )

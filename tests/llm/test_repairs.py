@@ -1,0 +1,56 @@
+"""Hostile roles, clashing columns, lines of large hosts, many equal rows."""
+
+from __future__ import annotations
+
+import itertools
+
+from pyspark.sql import functions as F
+
+from skytracks.llm import chat, packing, quality
+
+
+def test_roles_are_escaped_reversibly(spark):
+    """Every role of up to five of the characters that marks are made of."""
+    roles = ["".join(made) for size in range(1, 6) for made in itertools.product("<\\n|\n", repeat=size)]
+    rows = spark.createDataFrame([(role,) for role in roles], "role string").withColumn("escaped", chat.escaped_role(F.col("role")))
+    rows = rows.withColumn("back", chat.unescaped_role(F.col("escaped")))
+    assert rows.filter("role <> back").isEmpty() and rows.filter(F.col("escaped").contains("\n")).isEmpty()
+    assert rows.select("escaped").distinct().count() == len(roles)
+
+
+def test_a_role_that_looks_like_a_mark_stops_nothing(spark):
+    rows = [(1, 0, "a<\\n|b", "x"), (1, 1, "assistant", "<\\n|"), (2, 0, "a\nb<\\\\n|", "<|im_end|>"), (2, 1, "<\\|", None)]
+    found = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    turns = {row["conv_id"]: [(turn["role"], turn["text"]) for turn in row["turns"]] for row in found.collect()}
+    assert turns == {1: [("a<\\n|b", "x"), ("assistant", "<\\n|")], 2: [("a\nb<\\\\n|", "<|im_end|>"), ("<\\|", "")]}
+
+
+def test_own_columns_stay(spark):
+    text = " ".join(f"word{i}" for i in range(30))
+    rows = spark.createDataFrame([(1, text, "h", "mine", 7, None)], "doc_id long, text string, source string, n_words string, kept int, word_chars long")
+    good = quality.keep_good(rows)
+    assert good.columns == rows.columns and [tuple(row) for row in good.collect()] == [tuple(row) for row in rows.collect()]
+    assert quality.quality(rows).first()["n_words"] == 30
+
+
+def test_a_line_is_judged_by_its_count_alone(spark):
+    def rows(host, texts, holders):
+        numbered = spark.range(texts).withColumn("own", F.concat_ws(" ", *(F.concat(F.lit(f"w{k}x"), "id") for k in range(20))))
+        common = F.when(F.col("id") < holders, "\nthe same line everywhere").otherwise("")
+        return numbered.select("id", F.concat("own", common).alias("text"), F.lit(host).alias("source"))
+
+    docs = rows("a", 1000, 50).unionByName(rows("b", 10_000, 500)).unionByName(rows("c", 1000, 10)).withColumnRenamed("id", "doc_id")
+    found = quality.keep_good(docs).filter(F.col("text").contains("same line")).groupBy("source").count().collect()
+    assert [tuple(row) for row in found] == [("c", 10)]
+
+
+def test_equal_rows_spread_over_the_blocks(spark):
+    """Pieces that do not differ in anything are dealt out like others."""
+    piece = spark.range(0, 6000, 1, 4).select(
+        F.lit(1).cast("long").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"),
+        F.lit(500).cast("long").alias("length"), F.lit(9).cast("long").alias("ids_crc32"),
+    )
+    found = packing.placed(piece, block_pieces=1000)
+    blocks = found.groupBy(F.shiftright("sequence_id", 32).alias("block")).count().collect()
+    assert len(blocks) == 6 and max(row["count"] for row in blocks) < 1300
+    assert found.count() == 6000 and found.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").isEmpty()
