@@ -71,6 +71,9 @@ def main() -> None:
     jobs["train_models"] = lambda: train(spark, silver, models).collect()
     jobs["predict_all"] = lambda: predict(spark, silver, models, out)
     jobs["predict_days"] = lambda: predict(spark, silver, models, out, HourRange.covering(as_utc(AS_OF), HOUR))
+    # The state is made by the first of the runs and read by the others.
+    state = fresh_dir(spark, "state")
+    jobs["predict_days_from_state"] = lambda: predict(spark, silver, models, out, HourRange.covering(as_utc(AS_OF), HOUR), state)
 
     plain = {}
     typed = clean.valid_reports(clean.typed_times(read_bronze(spark, bronze)))
