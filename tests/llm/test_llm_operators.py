@@ -393,9 +393,8 @@ def test_passages_are_verified_at_every_alignment():
         assert passages._verified_starts(mine, other, starts, width, 0.8).tolist() == expected
 
 
-def test_no_passage_is_lost(spark, monkeypatch):
+def test_no_passage_is_lost(spark):
     """Frequent lines, partial quotes, chains of edits and edited passages against a comparison of all pairs of stretches."""
-    monkeypatch.setattr(passages, "SAMPLE", 1)
     made = random.Random(11)
     lines, quotes = [prose(100 + i, 14) for i in range(6)], [prose(200 + i, 64) for i in range(12)]
     texts = []
