@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skytracks.llm.components import components
-from skytracks.llm.tables import stored, whole_text
+from skytracks.llm.tables import Scratch, stored, whole_text
 from skytracks.llm.textbytes import chunks, mixed, text_bytes
 from skytracks.llm.words import words_of
 
@@ -219,36 +219,37 @@ def _ordered(met: DataFrame, other) -> DataFrame:
 
 def near_groups(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(digest, group) of every distinct text that is linked to another: groups are connected by similar pairs."""
-    sketches = stored(sketched(docs, bands, rows), "sketches")
-    rows_of = sketches.filter("weight > 0").select("digest", "weight", F.posexplode("keys").alias("band", "key"))
-    shared = rows_of.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    buckets = stored(rows_of.join(shared, ["band", "key"]), "buckets")
-    met = buckets.select("digest").distinct()
-    texts = docs.select(_digest().alias("digest"), whole_text().alias("text"))
-    texts = stored(texts.groupBy("digest").agg(F.max("text").alias("text")).join(met, "digest", "left_semi"), "near_texts")
-    grouped, groups, tried, own = buckets.withColumn("group", F.col("digest")), None, None, None
-    steps = (
-        # Any pivot first: most buckets are small and settled by it.
-        lambda found: _pivot_pairs(found, F.xxhash64("digest"), similarity),
-        # Then the member with the least of its own, which is nearest to what a group of copies was made from.
-        lambda found: _pivot_pairs(_with_most(found, own, similarity), F.col("most") / F.col("weight"), similarity),
-        lambda found: _remaining_pairs(_with_most(found, own, similarity), sketches, similarity),
-    )
-    for step in steps:
-        if groups is not None and own is None:
-            own = stored(_shared_weight(texts, grouped.select("digest").distinct()), "own_weight")
-        pairs = stored(step(grouped) if tried is None else step(grouped).join(tried, ["a", "b"], "left_anti"), "near_pairs")
-        if groups is not None and pairs.isEmpty():
-            continue
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = _verified(pairs, texts, similarity)
-        if groups is not None:
-            links = links.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        groups = stored(components(links), "near_groups")
-        named = groups.select(F.col("node").alias("digest"), F.col("component").alias("group"))
-        grouped = buckets.join(named, "digest", "left").withColumn("group", F.coalesce("group", "digest"))
-        apart = grouped.groupBy("band", "key").agg(F.min("group").alias("x"), F.max("group").alias("y")).filter("x <> y")
-        grouped = grouped.join(apart.select("band", "key"), ["band", "key"])
+    with Scratch() as scratch:
+        sketches = scratch.stored(sketched(docs, bands, rows), "sketches")
+        rows_of = sketches.filter("weight > 0").select("digest", "weight", F.posexplode("keys").alias("band", "key"))
+        shared = rows_of.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+        buckets = scratch.stored(rows_of.join(shared, ["band", "key"]), "buckets")
+        met = buckets.select("digest").distinct()
+        texts = docs.select(_digest().alias("digest"), whole_text().alias("text"))
+        texts = scratch.stored(texts.groupBy("digest").agg(F.max("text").alias("text")).join(met, "digest", "left_semi"), "near_texts")
+        grouped, groups, tried, own = buckets.withColumn("group", F.col("digest")), None, None, None
+        steps = (
+            # Any pivot first: most buckets are small and settled by it.
+            lambda found: _pivot_pairs(found, F.xxhash64("digest"), similarity),
+            # Then the member with the least of its own, which is nearest to what a group of copies was made from.
+            lambda found: _pivot_pairs(_with_most(found, own, similarity), F.col("most") / F.col("weight"), similarity),
+            lambda found: _remaining_pairs(_with_most(found, own, similarity), sketches, similarity),
+        )
+        for step in steps:
+            if groups is not None and own is None:
+                own = scratch.stored(_shared_weight(texts, grouped.select("digest").distinct()), "own_weight")
+            pairs = scratch.stored(step(grouped) if tried is None else step(grouped).join(tried, ["a", "b"], "left_anti"), "near_pairs")
+            if groups is not None and pairs.isEmpty():
+                continue
+            tried = pairs if tried is None else tried.unionByName(pairs)
+            links = _verified(pairs, texts, similarity)
+            if groups is not None:
+                links = links.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            groups = stored(components(links), "near_groups")
+            named = groups.select(F.col("node").alias("digest"), F.col("component").alias("group"))
+            grouped = buckets.join(named, "digest", "left").withColumn("group", F.coalesce("group", "digest"))
+            apart = grouped.groupBy("band", "key").agg(F.min("group").alias("x"), F.max("group").alias("y")).filter("x <> y")
+            grouped = grouped.join(apart.select("band", "key"), ["band", "key"])
     return groups.select(F.col("node").alias("digest"), F.col("component").alias("group"))
 
 
